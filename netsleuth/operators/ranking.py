@@ -28,27 +28,41 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return cond
 
 
-def hash_rank(df: DataFrame, key: list[str], seed=0, by: list[str] = (), out: str = "rank") -> DataFrame:
-    """Rank rows 1..n in md5 order of ``key``, within each value of ``by``.
+def bucket_rank(df: DataFrame, bucket: Column, order: list[Column], by: list[str] = (), out: str = "rank") -> DataFrame:
+    """Rank rows 1..n by (bucket, order) within each value of ``by``.
 
-    Hash prefixes spread any key evenly, so a label holding most rows still
-    splits over all buckets. ``by`` is a short key such as a class label.
+    ``bucket`` must be a short list of sortable values that spreads the rows; only
+    its sizes are accumulated in one place.
     """
-    by, digits = list(by), _hex_digits(df)
-    keyed = df.withColumn("_h", hash_hex(seed, *[F.col(k) for k in key]))
-    keyed = keyed.withColumn("_b", F.substring("_h", 1, digits))
+    by = list(by)
+    placed = df.withColumn("_b", bucket)
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        placed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
         .select(*[F.col(b).alias("_o" + b) for b in by], F.col("_b").alias("_o_b"),
                 F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     )
-    inside = Window.partitionBy(*by, "_b").orderBy("_h", *key)
-    ranked = keyed.withColumn("_rn", F.row_number().over(inside))
+    inside = Window.partitionBy(*by, "_b").orderBy(*order)
+    ranked = placed.withColumn("_rn", F.row_number().over(inside))
     joined = ranked.join(offsets, _same(ranked, offsets, by + ["_b"]))
     return joined.select(*[ranked[c] for c in df.columns], (F.col("_off") + F.col("_rn")).alias(out))
 
 
+def hash_prefix(df: DataFrame, hex_hash: Column) -> Column:
+    """Leading digits of an md5: an even, order-keeping bucket for any key."""
+    return F.substring(hex_hash, 1, _hex_digits(df))
+
+
+def hash_rank(df: DataFrame, key: list[str], seed=0, by: list[str] = (), out: str = "rank") -> DataFrame:
+    """Rank rows 1..n in md5 order of ``key``, within each value of ``by``.
+
+    Hash prefixes spread any key evenly, so a label holding most rows still
+    splits over all buckets. ``by`` is a short key such as a class label.
+    """
+    h = hash_hex(seed, *[F.col(k) for k in key])
+    return bucket_rank(df, hash_prefix(df, h), [h, *[F.col(k) for k in key]], by, out)
+
+
 def prefix_sums(counts: DataFrame, value: str, sums: list[str], by: list[str] = (),
                 stats: dict[str, Column] | None = None) -> DataFrame:
     """Running totals over distinct sorted values.

@@ -1,13 +1,13 @@
 """All registered queries and their SQL twins."""
 
-from netsleuth.plans import flow_queries
+from netsleuth.plans import causal_queries, flow_queries
 
-FAMILIES = [flow_queries]
+FAMILIES = [flow_queries.FAMILY, causal_queries.FAMILY]
 
 
 def queries():
-    return {name: fn for family in FAMILIES for name, fn in family.QUERIES.items()}
+    return {name: fn for family in FAMILIES for name, fn in family.queries.items()}
 
 
 def oracle_sql():
-    return {name: sql for family in FAMILIES for name, sql in family.ORACLES.items()}
+    return {name: sql for family in FAMILIES for name, sql in family.oracles.items()}

@@ -8,20 +8,13 @@ from netsleuth.functions.columns import linear_probability, safe_div, verdict_co
 from netsleuth.functions.schema import (
     ATTACK, ENGINEERED_FEATURES, FLOW_COLUMNS, LABEL, MODEL_FEATURES, NUMERIC_FEATURES)
 from netsleuth.operators import cleaning, drift, gate, metrics, splits
+from netsleuth.plans.registry import Family
 from netsleuth.sources import views
 from netsleuth.sources.io import tag_ingest
 from netsleuth.sources.tables import table
 
-QUERIES, ORACLES = {}, {}
-
-
-def register(name, sql=None):
-    def keep(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return keep
+FAMILY = Family()
+register = FAMILY.register
 
 
 # --- SQL twins of the views ------------------------------------------------
