@@ -142,8 +142,10 @@ def knowledge_nodes(spark: SparkSession, folder: str) -> DataFrame:
             F.concat(F.lit(kind + "--"), F.col(key).cast("string")).alias("id"), F.lit(kind).alias("type"),
             F.col(label).alias("name"), F.lit(None).cast("boolean").alias("revoked"),
             retired.alias("x_mitre_deprecated"),
-            F.array(F.struct(F.lit("vendor").alias("source_name"), F.lit("x").alias("external_id"), F.lit("").alias("url")),
-                    F.struct(F.lit("mitre-attack"), ext, F.lit(""))).alias("external_references"))
+            F.array(reference("vendor", F.lit("x")), reference("mitre-attack", ext)).alias("external_references"))
+
+    def reference(source, ext):
+        return F.struct(F.lit(source).alias("source_name"), ext.alias("external_id"), F.lit("").alias("url"))
 
     none = F.lit(None).cast("string")
     part_no = F.concat(F.lit("T"), F.lpad(F.col("p_partkey").cast("string"), 7, "0"))
