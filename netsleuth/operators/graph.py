@@ -53,19 +53,23 @@ def dense_index(nodes: DataFrame, by: list[str] = (), out: str = "idx") -> DataF
 
 
 def graph_edges(relations: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Active relationships between known nodes, routed to the four relation types."""
+    """Active relationships between known nodes, routed to the four relation types.
+
+    The result is cut from its lineage: every graph operator reads it several times.
+    """
     kinds = nodes.select("id", "kind")
     both = relations.filter(active()).select("relationship_type", "source_ref", "target_ref")
     source = kinds.select(F.col("id").alias("source_ref"), F.col("kind").alias("source_kind"))
     target = kinds.select(F.col("id").alias("target_ref"), F.col("kind").alias("target_kind"))
-    both = spread_lookup(both, source, "source_ref", ["source_kind"])
-    both = spread_lookup(both, target, "target_ref", ["target_kind"])
+    typed = spread_lookup(both, source, "source_ref", ["source_kind"])
+    typed = spread_lookup(typed, target, "target_ref", ["target_kind"], sketch=both)
     rel = F.lit(None).cast("string")
     for (kind, s, d), name in RELATIONS.items():
         rel = F.when((F.col("relationship_type") == kind) & (F.col("source_kind") == s)
                      & (F.col("target_kind") == d), name).otherwise(rel)
-    return both.select(F.col("source_ref").alias("src"), F.col("target_ref").alias("dst"), rel.alias("rel")).filter(
-        F.col("rel").isNotNull())
+    return durable(typed.select(
+        F.col("source_ref").alias("src"), F.col("target_ref").alias("dst"), rel.alias("rel")).filter(
+        F.col("rel").isNotNull()))
 
 
 def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -84,7 +88,7 @@ def undirected(edges: DataFrame) -> DataFrame:
 def target_split(edges: DataFrame, val_frac: float = 0.1, test_frac: float = 0.1, seed: int = 42) -> DataFrame:
     """Target edges with their part: train, val or test."""
     target = edges.filter(F.col("rel") == TARGET).select("src", "dst")
-    return three_way_split(target, ["src", "dst"], val_frac, test_frac, seed)
+    return durable(three_way_split(target, ["src", "dst"], val_frac, test_frac, seed))
 
 
 def message_edges(edges: DataFrame, split: DataFrame) -> DataFrame:
@@ -134,7 +138,7 @@ def sample_negatives(nodes: DataFrame, edges: DataFrame, n: int, seed: int = 42)
     free = pairs.join(known, ["src", "dst"], "left_anti").select("step", "src", "dst")
     width = max(1, steps // (16 * shuffle_width(spark)))
     ranked = bucket_rank(free, F.expr(f"step div {width}"), [F.col("step")])
-    return ranked.filter(F.col("rank") <= n).select("src", "dst")
+    return durable(ranked.filter(F.col("rank") <= n).select("src", "dst"))
 
 
 def neighbour_mean(features: DataFrame, message: DataFrame, columns: list[str], hops: int = 2) -> DataFrame:
@@ -149,8 +153,7 @@ def neighbour_mean(features: DataFrame, message: DataFrame, columns: list[str],
         means = sent.groupBy("dst").agg(*[F.avg(c).alias("_m_" + c) for c in columns])
         state = state.join(means, state["id"] == means["dst"], "left").select(
             "id", *[((F.col(c) + F.coalesce("_m_" + c, c)) / 2.0).alias(c) for c in columns])
-        if hop < hops - 1:
-            state = durable(state)
+        state = durable(state)
     return state
 
 
@@ -158,5 +161,5 @@ def pair_score(z: DataFrame, pairs: DataFrame, vector: str = "z") -> DataFrame:
     """Sigmoid of the inner product for every (src, dst) pair."""
     side = lambda key, name: z.select(F.col("id").alias(key), F.col(vector).alias(name))
     both = spread_lookup(pairs, side("src", "_zs"), "src", ["_zs"])
-    both = spread_lookup(both, side("dst", "_zd"), "dst", ["_zd"])
+    both = spread_lookup(both, side("dst", "_zd"), "dst", ["_zd"], sketch=pairs)
     return both.withColumn("score", sigmoid(dot(F.col("_zs"), F.col("_zd")))).drop("_zs", "_zd")

@@ -10,6 +10,7 @@ from netsleuth.functions.columns import dot, hash_hex, sigmoid
 from netsleuth.operators.graph import dense_index
 from netsleuth.operators.metrics import ranking_metrics
 from netsleuth.operators.ranking import bucket_rank, hash_prefix, spread_lookup
+from netsleuth.session import durable
 
 
 def link_factors(train: DataFrame, nodes: DataFrame, rank: int = 16, iterations: int = 10, seed: int = 42) -> DataFrame:
@@ -18,10 +19,11 @@ def link_factors(train: DataFrame, nodes: DataFrame, rank: int = 16, iterations:
     side = lambda kind, key, name: indexed.filter(F.col("kind") == kind).select(
         F.col("id").alias(key), F.col("idx").cast("int").alias(name))
     rated = spread_lookup(train.select("src", "dst"), side("group", "src", "user"), "src", ["user"])
-    rated = spread_lookup(rated, side("technique", "dst", "item"), "dst", ["item"])
+    rated = spread_lookup(rated, side("technique", "dst", "item"), "dst", ["item"], sketch=train)
+    rated = durable(rated.filter("user is not null and item is not null").select("user", "item", F.lit(1.0).alias("rating")))
     model = ALS(
         rank=rank, maxIter=iterations, implicitPrefs=True, seed=seed, userCol="user", itemCol="item",
-        ratingCol="rating").fit(rated.filter("user is not null and item is not null").withColumn("rating", F.lit(1.0)))
+        ratingCol="rating").fit(rated)
     vectors = lambda kind, factors: indexed.filter(F.col("kind") == kind).join(
         factors.withColumnRenamed("id", "_i"), F.col("idx") == F.col("_i")).select(
         "id", "kind", F.col("features").alias("z"))
@@ -40,12 +42,13 @@ def link_heuristics(pairs: DataFrame, message: DataFrame) -> DataFrame:
     degree_of = lambda key, name: degrees.select(F.col("src").alias(key), F.col("degree").alias(name))
 
     asked = pairs.select("src", "dst").distinct()
+    asked = durable(asked)
     own = asked.join(edges, ["src", "dst"], "left_semi").withColumn("_own", F.lit(1))
     asked = asked.join(own, ["src", "dst"], "left")
     asked = spread_lookup(asked, degree_of("src", "_ds"), "src", ["_ds"])
-    asked = spread_lookup(asked, degree_of("dst", "_dd"), "dst", ["_dd"])
+    asked = spread_lookup(asked, degree_of("dst", "_dd"), "dst", ["_dd"], sketch=pairs)
     less_own = lambda d: F.coalesce(d, F.lit(0)) - F.coalesce("_own", F.lit(0))
-    asked = asked.select("src", "dst", less_own("_ds").alias("deg_src"), less_own("_dd").alias("deg_dst"))
+    asked = durable(asked.select("src", "dst", less_own("_ds").alias("deg_src"), less_own("_dd").alias("deg_dst")))
 
     small_first = F.col("deg_src") <= F.col("deg_dst")
     expanded = asked.filter((F.col("deg_src") > 0) & (F.col("deg_dst") > 0)).select(
@@ -54,7 +57,7 @@ def link_heuristics(pairs: DataFrame, message: DataFrame) -> DataFrame:
         F.when(small_first, F.col("dst")).otherwise(F.col("src")).alias("other"))
     reach = edges.select(F.col("src").alias("pivot"), F.col("dst").alias("via"))
     probe = edges.select(F.col("src").alias("other"), F.col("dst").alias("via"))
-    shared = expanded.join(reach, "pivot").join(probe, ["other", "via"], "left_semi")
+    shared = durable(expanded.join(reach, "pivot").join(probe, ["other", "via"], "left_semi"))
     shared = spread_lookup(shared.select("a", "b", "via"), degree_of("via", "_dv"), "via", ["_dv"])
     scores = shared.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("cn"),

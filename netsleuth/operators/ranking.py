@@ -128,30 +128,33 @@ def exact_quantiles(sums: DataFrame, value: str, count: str, probs: list[float],
     return row.select(*by, F.array(*points).alias("quantiles"))
 
 
-def spread_lookup(facts: DataFrame, dim: DataFrame, key: str, values: list[str]) -> DataFrame:
+HOT_KEYS = 64
+
+
+def spread_lookup(facts: DataFrame, dim: DataFrame, key: str, values: list[str],
+                  sketch: DataFrame | None = None) -> DataFrame:
     """Left join ``facts`` to ``dim`` on ``key`` when a few keys may hold most rows.
 
-    A key holding more than 1/P of the rows is hot, and at most P keys can be, so
-    the hot part of ``dim`` is broadcast whatever the data size. The other rows
-    shuffle on the key; hot rows, already matched, spread over all tasks instead.
+    A frequent-items sketch names the 64 commonest keys; their ``dim`` rows, at most
+    64, are broadcast. Rows of other keys shuffle on the key as usual, while hot rows,
+    already matched, spread over all tasks. Which keys the sketch picks changes the
+    speed only, so ``sketch`` may name a cheaper frame with the same key column.
     ``dim`` has one row per key.
     """
-    parts = 4 * shuffle_width(facts.sparkSession)
-    sizes = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    bar = sizes.agg(F.sum("_n")).scalar() / F.lit(parts)
-    hot_keys = sizes.filter(F.col("_n") > bar).select(F.col(key).alias("_hot"))
-    hot = dim.join(F.broadcast(hot_keys), dim[key] == hot_keys["_hot"]).select(
-        "_hot", *[F.col(v).alias("_hot_" + v) for v in values])
+    top = (facts if sketch is None else sketch).agg(F.expr(f"approx_top_k({key}, {HOT_KEYS}, {16 * HOT_KEYS})").alias("_top"))
+    hot_keys = top.select(F.col("_top.item").alias("_items")).scalar()
+    sided = dim.withColumn("_items", hot_keys).filter(F.array_contains("_items", F.col(key)))
+    hot = sided.select(F.col(key).alias("_hot"), *[F.col(v).alias("_hot_" + v) for v in values])
     tagged = facts.join(F.broadcast(hot), facts[key] == hot["_hot"], "left")
+    matched = F.col("_hot").isNotNull()
     tagged = tagged.withColumn(
         "_cold",
-        F.struct(F.when(F.col("_hot").isNull(), F.col(key)).alias("k"),
-                 F.when(F.col("_hot").isNotNull() | F.col(key).isNull(),
-                        F.xxhash64(*facts.columns)).alias("spread")))
+        F.struct(F.when(~matched, F.col(key)).alias("k"),
+                 F.when(matched | F.col(key).isNull(), F.xxhash64(*facts.columns)).alias("spread")))
     cold = dim.select(
         F.struct(F.col(key).alias("k"), F.lit(None).cast("bigint").alias("spread")).alias("_ck"),
         *[F.col(v).alias("_cold_" + v) for v in values])
     joined = tagged.join(cold, tagged["_cold"] == cold["_ck"], "left")
     return joined.select(
         *[facts[c] for c in facts.columns],
-        *[F.coalesce("_hot_" + v, "_cold_" + v).alias(v) for v in values])
+        *[F.when(matched, F.col("_hot_" + v)).otherwise(F.col("_cold_" + v)).alias(v) for v in values])

@@ -80,19 +80,20 @@ def edges(spark, d):
     return graph.graph_edges(views.knowledge_relations(spark, d), nodes(spark, d))
 
 
-def message(spark, d):
-    linked = edges(spark, d)
+def message(spark, d, linked=None):
+    linked = edges(spark, d) if linked is None else linked
     return graph.message_edges(linked, graph.target_split(linked))
 
 
-def vectors(spark, d):
+def vectors(spark, d, linked=None):
     features = nodes(spark, d).select("id", *[
         (hash_uniform(i, F.col("id")) - 0.5).alias(c) for i, c in enumerate(DIMS)])
-    return graph.neighbour_mean(features, message(spark, d), DIMS)
+    return graph.neighbour_mean(features, message(spark, d, linked), DIMS)
 
 
-def negatives(spark, d):
-    return graph.sample_negatives(nodes(spark, d), edges(spark, d).filter(F.col("rel") == graph.TARGET), N_NEGATIVES)
+def negatives(spark, d, linked=None):
+    linked = edges(spark, d) if linked is None else linked
+    return graph.sample_negatives(nodes(spark, d), linked.filter(F.col("rel") == graph.TARGET), N_NEGATIVES)
 
 
 register("graph_nodes", f"with {NODES_SQL} select * from nodes")(nodes)
@@ -171,7 +172,7 @@ def held_out(spark, d):
     linked = edges(spark, d)
     split = graph.target_split(linked)
     pairs = split.filter("part = 'test'").select("src", "dst", F.lit(1).alias("y")).unionByName(
-        negatives(spark, d).select("src", "dst", F.lit(0).alias("y")))
+        negatives(spark, d, linked).select("src", "dst", F.lit(0).alias("y")))
     scores = links.link_heuristics(pairs, graph.message_edges(linked, split))
     return scores.join(pairs, ["src", "dst"])
 
@@ -203,8 +204,9 @@ _RANKED_SQL = (
 
 def ranked_for_first(spark, d):
     """Techniques ranked for the first group whose name matches."""
-    known = edges(spark, d).filter(F.col("rel") == graph.TARGET)
-    z = vectors(spark, d).select("id", F.array(*DIMS).alias("z"))
+    linked = edges(spark, d)
+    known = linked.filter(F.col("rel") == graph.TARGET)
+    z = vectors(spark, d, linked).select("id", F.array(*DIMS).alias("z"))
     group = links.find_group(graph.dense_index(nodes(spark, d)), GROUP_TEXT).first()["id"]
     return links.rank_techniques(nodes(spark, d), z, known, group)
 
