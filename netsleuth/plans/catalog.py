@@ -1,8 +1,8 @@
 """All registered queries and their SQL twins."""
 
-from netsleuth.plans import causal_queries, flow_queries, graph_queries
+from netsleuth.plans import causal_queries, corpus_queries, flow_queries, graph_queries
 
-FAMILIES = [flow_queries.FAMILY, causal_queries.FAMILY, graph_queries.FAMILY]
+FAMILIES = [flow_queries.FAMILY, causal_queries.FAMILY, graph_queries.FAMILY, corpus_queries.FAMILY]
 
 
 def queries():
