@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +74,6 @@ def chunk_recursive(df: DataFrame, text: str = "text", size: int = CHUNK_SIZE, o
     Small pieces are packed up to ``size``; the next chunk restarts up to ``overlap``
     characters back. Spark spreads the rows; each text is cut by a short helper.
     """
-    import pandas as pd
-
     def pieces_of(body, seps):
         """Split ``body`` into spans no longer than ``size``, separators kept with the text after them."""
         if len(body) <= size:

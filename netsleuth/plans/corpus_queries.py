@@ -111,7 +111,7 @@ def query_sql(name, questions="benchmark", key="item_id", text="text"):
 
 def stage1_sql(name, k=12):
     return (f"s1 as (select q_id, id, round(sum(weight * wq), 6) as score from {name}_wt join qw using (term) group by 1, 2), "
-            f"cand as (select *, row_number() over (partition by q_id order by score desc, id) as stage1_rank from s1 "
+            f"cand as (select *, row_number() over (partition by q_id order by score desc, id)::integer as stage1_rank from s1 "
             f"qualify stage1_rank <= {k})")
 
 
@@ -121,7 +121,7 @@ def rerank_sql(name, n=4):
             f"(select distinct q_id, term from qc) q using (q_id) join {name}_df using (term) "
             f"join {name}_p p on p.id = c.id and p.term = q.term, {name}_n group by 1, 2), "
             "rr as (select cand.*, round(coalesce(s, 0), 4) as rerank_score from cand left join bm using (q_id, id)), "
-            f"hits as (select *, row_number() over (partition by q_id order by rerank_score desc, stage1_rank) as rank from rr "
+            f"hits as (select *, row_number() over (partition by q_id order by rerank_score desc, stage1_rank)::integer as rank from rr "
             f"qualify rank <= {n})")
 
 
