@@ -98,23 +98,3 @@ def technique_ids(text: Column) -> Column:
 
 def cve_ids(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"\b(CVE-\d{4}-\d{4,})\b"), 1)
-
-
-def bisect(value: Column, cuts: Column, right: bool = True, depth: int = 18) -> Column:
-    """How many sorted cut points lie at or below ``value`` (below it if not ``right``).
-
-    Binary search; ``depth`` halvings cover 2**depth cut points.
-    """
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
-
-    def halve(span, _):
-        mid = F.shiftright(span["lo"] + span["hi"], 1)
-        at_mid = F.get(cuts, mid)
-        below = (at_mid <= value) if right else (at_mid < value)
-        open_span = span["lo"] < span["hi"]
-        return F.struct(
-            F.when(open_span & below, mid + 1).otherwise(span["lo"]).alias("lo"),
-            F.when(open_span & ~below, mid).otherwise(span["hi"]).alias("hi"),
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, halve, lambda span: span["lo"])

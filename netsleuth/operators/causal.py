@@ -12,8 +12,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netsleuth.functions.columns import bisect, hash_uniform, sigmoid
-from netsleuth.operators.ranking import exact_quantiles, hash_prefix, prefix_sums
+from netsleuth.functions.columns import hash_uniform, sigmoid
+from netsleuth.operators.ranking import exact_quantiles, hash_prefix, place_among, prefix_sums
 
 CLIP = (0.02, 0.98)
 
@@ -173,9 +173,8 @@ def effect_by_quartile(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     """Mean of the effect columns in right-closed quartile bins of ``by``."""
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     cuts = exact_quantiles(prefix_sums(counts, by, ["n"]), by, "n", [0.25, 0.5, 0.75])
-    placed = df.withColumn("_cuts", cuts.scalar())
-    quartile = bisect(F.col(by), F.col("_cuts"), right=False, depth=3) + 1
-    return placed.groupBy(quartile.alias("quartile")).agg(
+    placed = place_among(df.withColumn("_cuts", cuts.scalar()), by, "_cuts", "_below", 3, right=False)
+    return placed.groupBy((F.col("_below") + 1).alias("quartile")).agg(
         F.count(F.lit(1)).alias("units"), *[F.round(F.avg(c), 4).alias(c) for c in columns])
 
 

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netsleuth.functions.columns import bisect
 from netsleuth.functions.schema import RETRAIN, SKIP
-from netsleuth.operators.ranking import exact_quantiles, prefix_sums
+from netsleuth.operators.ranking import exact_quantiles, place_among, prefix_sums
+from netsleuth.session import durable
 
 WASSERSTEIN_BAR = 0.1
 PSI_BAR = 0.2
@@ -63,13 +63,14 @@ def drift_ks(long: DataFrame, factor: float = KS_FACTOR) -> DataFrame:
 
 def drift_psi(long: DataFrame, bar: float = PSI_BAR) -> DataFrame:
     """Population stability index over the reference deciles, open-ended and right-closed."""
-    counts = _value_counts(long)
+    counts = durable(_value_counts(long))
     ref = prefix_sums(counts.filter("n_ref > 0"), "value", ["n_ref"], by=["col"])
     edges = exact_quantiles(ref, "value", "n_ref", DECILES, by=["col"]).select(
         F.col("col").alias("_col"), F.array_distinct("quantiles").alias("edges"))
     # one short array per monitored column, so the broadcast side is bounded by the schema
-    binned = counts.join(F.broadcast(edges), F.col("col") == F.col("_col")).groupBy(
-        "col", bisect(F.col("value"), F.col("edges"), right=False, depth=5).alias("bin")).agg(
+    placed = place_among(
+        counts.join(F.broadcast(edges), F.col("col") == F.col("_col")), "value", "edges", "bin", len(DECILES), right=False)
+    binned = placed.groupBy("col", "bin").agg(
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     totals = binned.groupBy(F.col("col").alias("_col")).agg(
         F.sum("n_ref").alias("all_ref"), F.sum("n_cur").alias("all_cur"))

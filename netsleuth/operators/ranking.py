@@ -12,8 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netsleuth.functions.columns import bisect, hash_hex
-from netsleuth.session import shuffle_width
+from netsleuth.functions.columns import hash_hex
+from netsleuth.session import durable, shuffle_width
 
 
 def _hex_digits(df: DataFrame) -> int:
@@ -63,6 +63,21 @@ def hash_rank(df: DataFrame, key: list[str], seed=0, by: list[str] = (), out: st
     return bucket_rank(df, hash_prefix(df, h), [h, *[F.col(k) for k in key]], by, out)
 
 
+def place_among(df: DataFrame, value: str, cuts: str, out: str, max_cuts: int, right: bool = True) -> DataFrame:
+    """Add ``out``: how many sorted ``cuts`` lie at or below ``value`` (below it if not ``right``).
+
+    A binary search unrolled to one projection per halving, so it compiles with the
+    rest of the stage. An index past the array reads as null and counts as above.
+    """
+    placed = df.withColumn(out, F.lit(0))
+    for bit in reversed(range(max_cuts.bit_length())):
+        step = 1 << bit
+        at = F.get(cuts, F.col(out) + (step - 1))
+        passed = (at <= F.col(value)) if right else (at < F.col(value))
+        placed = placed.withColumn(out, F.col(out) + F.when(passed, step).otherwise(0))
+    return placed
+
+
 def prefix_sums(counts: DataFrame, value: str, sums: list[str], by: list[str] = (),
                 stats: dict[str, Column] | None = None) -> DataFrame:
     """Running totals over distinct sorted values.
@@ -70,10 +85,11 @@ def prefix_sums(counts: DataFrame, value: str, sums: list[str], by: list[str] =
     ``counts`` has one row per (by, value). Adds ``cum_x`` (this value included) and
     ``total_x`` for every x in ``sums``, ``next_value``, and any further aggregates
     per ``by`` named in ``stats``. ``by`` names a bounded set, such as the monitored
-    columns of a schema, so the row of cut points each has fits a broadcast. All
-    branches read the same columns of ``counts``, so its shuffle is made once.
+    columns of a schema, so the row of cut points each has fits a broadcast. The
+    counts are checkpointed because three branches read them.
     """
     by, stats = list(by), stats or {}
+    counts = durable(counts)
     parts = max(8, shuffle_width(counts.sparkSession))
     probs = [i / parts for i in range(1, parts)]
     named = [*["total_" + s for s in sums], *stats]
@@ -87,7 +103,7 @@ def prefix_sums(counts: DataFrame, value: str, sums: list[str], by: list[str] =
     else:
         row = profile.select(F.struct("_cuts", *named)).scalar()
         placed = counts.withColumn("_profile", row).select("*", "_profile.*")
-    bucketed = placed.select(*counts.columns, *named, bisect(F.col(value), F.col("_cuts")).alias("_b"))
+    bucketed = place_among(placed, value, "_cuts", "_b", parts).select(*counts.columns, *named, "_b")
 
     order = Window.partitionBy(*by).orderBy("_b")
     before = order.rowsBetween(Window.unboundedPreceding, -1)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide plans hold many columns; do not record the call site of each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
