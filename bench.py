@@ -34,7 +34,9 @@ def main() -> None:
     queries = catalog.queries()
     names = list(queries) if wanted == "all" else [n for n in wanted.split(",") if n] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"})
+        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
+        # small inputs: keep a task per core instead of merging them to one
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k"})
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
     seconds = {}

@@ -58,7 +58,7 @@ def graph_edges(relations: DataFrame, nodes: DataFrame) -> DataFrame:
     The result is cut from its lineage: every graph operator reads it several times.
     """
     kinds = nodes.select("id", "kind")
-    both = relations.filter(active()).select("relationship_type", "source_ref", "target_ref")
+    both = durable(relations.filter(active()).select("relationship_type", "source_ref", "target_ref"))
     source = kinds.select(F.col("id").alias("source_ref"), F.col("kind").alias("source_kind"))
     target = kinds.select(F.col("id").alias("target_ref"), F.col("kind").alias("target_kind"))
     typed = spread_lookup(both, source, "source_ref", ["source_kind"])

@@ -37,8 +37,8 @@ def link_heuristics(pairs: DataFrame, message: DataFrame) -> DataFrame:
     probed by (node, neighbour); no group of neighbours is paired with itself.
     A pair's own edge does not count.
     """
-    edges = message.select("src", "dst").distinct()
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+    edges = durable(message.select("src", "dst").distinct())
+    degrees = durable(edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree")))
     degree_of = lambda key, name: degrees.select(F.col("src").alias(key), F.col("degree").alias(name))
 
     asked = pairs.select("src", "dst").distinct()

@@ -163,13 +163,10 @@ def spread_lookup(facts: DataFrame, dim: DataFrame, key: str, values: list[str],
     hot = sided.select(F.col(key).alias("_hot"), *[F.col(v).alias("_hot_" + v) for v in values])
     tagged = facts.join(F.broadcast(hot), facts[key] == hot["_hot"], "left")
     matched = F.col("_hot").isNotNull()
+    elsewhere = F.concat(F.lit("\u0001"), F.xxhash64(*facts.columns).cast("string"))
     tagged = tagged.withColumn(
-        "_cold",
-        F.struct(F.when(~matched, F.col(key)).alias("k"),
-                 F.when(matched | F.col(key).isNull(), F.xxhash64(*facts.columns)).alias("spread")))
-    cold = dim.select(
-        F.struct(F.col(key).alias("k"), F.lit(None).cast("bigint").alias("spread")).alias("_ck"),
-        *[F.col(v).alias("_cold_" + v) for v in values])
+        "_cold", F.when(matched | F.col(key).isNull(), elsewhere).otherwise(F.col(key).cast("string")))
+    cold = dim.select(F.col(key).cast("string").alias("_ck"), *[F.col(v).alias("_cold_" + v) for v in values])
     joined = tagged.join(cold, tagged["_cold"] == cold["_ck"], "left")
     return joined.select(
         *[facts[c] for c in facts.columns],

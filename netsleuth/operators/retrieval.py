@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import tokens
 from netsleuth.operators.ranking import spread_lookup
-from netsleuth.session import durable
+from netsleuth.session import durable, durable_partitions
 
 TOP_K = 12
 RERANK_N = 4
@@ -17,10 +17,15 @@ QUERY_SALTS = 32
 
 
 def build_postings(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """Index rows (id, term, tf, length), stored once because every step reads them."""
-    words = texts.select(F.col(key).alias("id"), tokens(F.col(text)).alias("_w"))
+    """Index rows (id, term, tf, length), stored once because every step reads them.
+
+    Texts move to their id's partition before they are cut into words: that is less
+    data than the words, and no later step per text has to shuffle again.
+    """
+    placed = texts.select(F.col(key).alias("id"), F.col(text).alias("_t")).repartition("id")
+    words = placed.select("id", tokens(F.col("_t")).alias("_w"))
     exploded = words.select("id", F.size("_w").alias("length"), F.explode("_w").alias("term"))
-    return durable(exploded.groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf")))
+    return durable_partitions(exploded.groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:

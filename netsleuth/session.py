@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,7 +53,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint that outlives lost executors."""
+    """Cut the lineage by writing the rows to a table in the shared folder.
+
+    Lost executors only reread it. Later plans see its true size and columns, so
+    the optimizer prunes and picks join strategies as for any other table.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/layers/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def durable_partitions(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint, which keeps the partitioning."""
     spark = df.sparkSession
     folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
