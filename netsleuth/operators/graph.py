@@ -122,15 +122,12 @@ def sample_negatives(nodes: DataFrame, edges: DataFrame, n: int, seed: int = 42)
     if steps == 0:
         return known.limit(0)
     stride = WALK_STEP % cells if cells > 1 else 0
-    big = "decimal(38,0)"
-    code = ((F.col("id").cast("decimal(18,0)") * F.lit(stride).cast("decimal(19,0)") + F.lit(seed).cast("decimal(10,0)"))
-            .cast(big) % F.lit(cells).cast(big)).cast("bigint")
-    walk = spark.range(steps).select(
-        F.col("id").alias("step"),
-        F.floor(code / F.lit(techniques)).cast("bigint").alias("_g"), (code % techniques).alias("_t"))
-    if cells > 2**52:  # beyond exact double quotients
-        walk = spark.range(steps).select(F.col("id").alias("step"), code.alias("_c")).selectExpr(
-            "step", f"_c div {techniques} as _g", f"_c % {techniques} as _t")
+    wide = "decimal(38,0)"
+    code = (
+        F.col("id").cast("decimal(18,0)") * F.lit(stride).cast("decimal(19,0)") + F.lit(seed).cast("decimal(10,0)")
+    ).cast(wide) % F.lit(cells).cast(wide)
+    walk = spark.range(steps).select(F.col("id").alias("step"), code.cast("bigint").alias("_c")).selectExpr(
+        "step", f"_c div {techniques} as _g", f"_c % {techniques} as _t")
     indexed = dense_index(nodes.select("id", "kind"), by=["kind"])
     pick = lambda kind, key, name: indexed.filter(F.col("kind") == kind).select(
         F.col("idx").alias(key), F.col("id").alias(name))

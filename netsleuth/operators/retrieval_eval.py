@@ -19,7 +19,7 @@ def passages_containing(passages: DataFrame, documents: DataFrame, shingle: int
     """
     words = tokens(F.col("passage"))
     key = F.array_join(F.slice(words, 2, shingle), " ")
-    asked = passages.filter(F.size(words) >= shingle + 2).select("q_id", "passage", key.alias("_key"))
+    asked = passages.select("q_id", "passage", key.alias("_key"))
     body = documents.select("doc_id", "text", tokens(F.col("text")).alias("_t"))
     runs = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("_t") - shingle + 1, F.lit(1))),

@@ -15,7 +15,7 @@ from netsleuth.sources.tables import table
 FAMILY = Family()
 register = FAMILY.register
 
-N_NEGATIVES = 4000
+N_HELD = "(select count(*) from split where part = 'test')"
 DIMS = ["f0", "f1", "f2", "f3"]
 GROUP_TEXT = "SUPPLIER#00000000"
 
@@ -48,13 +48,13 @@ NEGATIVES_SQL = (
     "kinds as (select id, kind, " + INDEX_SQL.format(part="partition by kind") + " as idx from nodes), "
     "dims as (select count(*) filter (where kind = 'group') as ng, count(*) filter (where kind = 'technique') as nt from nodes), "
     "target as (select distinct src, dst from edges where rel = 'group_uses_technique'), "
-    f"steps as (select unnest(range(least(ng * nt, {N_NEGATIVES} + (select count(*) from target)))) as step, "
+    f"steps as (select unnest(range(least(ng * nt, {N_HELD} + (select count(*) from target)))) as step, "
     "ng * nt as cells, nt from dims), "
     "walk as (select step, ((step::hugeint * (2305843009213693951::hugeint % cells) + 42) % cells)::bigint as code, nt from steps), "
     "negatives as (select g.id as src, t.id as dst from walk join kinds g on g.kind = 'group' and g.idx = code // nt "
     "join kinds t on t.kind = 'technique' and t.idx = code % nt "
     "anti join target on g.id = target.src and t.id = target.dst "
-    f"order by step limit {N_NEGATIVES})")
+    f"order by step limit {N_HELD})")
 
 
 def _feature_sql(i):
@@ -91,9 +91,12 @@ def vectors(spark, d, linked=None):
     return graph.neighbour_mean(features, message(spark, d, linked), DIMS)
 
 
-def negatives(spark, d, linked=None):
+def negatives(spark, d, linked=None, split=None):
+    """As many typed non-edges as there are test edges."""
     linked = edges(spark, d) if linked is None else linked
-    return graph.sample_negatives(nodes(spark, d), linked.filter(F.col("rel") == graph.TARGET), N_NEGATIVES)
+    split = graph.target_split(linked) if split is None else split
+    held = split.filter("part = 'test'").count()
+    return graph.sample_negatives(nodes(spark, d), linked.filter(F.col("rel") == graph.TARGET), held)
 
 
 register("graph_nodes", f"with {NODES_SQL} select * from nodes")(nodes)
@@ -118,7 +121,7 @@ def _(spark, d):
     return graph.leaked_edges(graph.message_edges(linked, split), split).agg(F.count(F.lit(1)).alias("leaked"))
 
 
-register("sample_negatives", f"with {GRAPH_SQL}, {NEGATIVES_SQL} select * from negatives")(negatives)
+register("sample_negatives", f"with {GRAPH_SQL}, {SPLIT_SQL}, {NEGATIVES_SQL} select * from negatives")(negatives)
 register("neighbour_mean", f"with {GRAPH_SQL}, {SPLIT_SQL}, {MESSAGE_SQL}, {MEANS_SQL} select id, "
          + ", ".join(f"round({c}, 6) as {c}" for c in DIMS) + " from x2")(
     lambda spark, d: vectors(spark, d).select("id", *[F.round(c, 6).alias(c) for c in DIMS]))
@@ -172,7 +175,7 @@ def held_out(spark, d):
     linked = edges(spark, d)
     split = graph.target_split(linked)
     pairs = split.filter("part = 'test'").select("src", "dst", F.lit(1).alias("y")).unionByName(
-        negatives(spark, d, linked).select("src", "dst", F.lit(0).alias("y")))
+        negatives(spark, d, linked, split).select("src", "dst", F.lit(0).alias("y")))
     scores = links.link_heuristics(pairs, graph.message_edges(linked, split))
     return scores.join(pairs, ["src", "dst"])
 

@@ -35,11 +35,16 @@ def test_fixed_chunks_against_slices(spark):
 
 
 def test_recursive_chunks_properties(spark):
-    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    """Chunks are in-order substrings within the size, and no word is lost."""
+    words = [f"w{i}" for i in range(2500)]
+    texts = ["", "short", " ".join(words), "\n".join(words), ". ".join(words),
+             "\n\n".join(" ".join(words[i:i + 40]) + "." for i in range(0, 2500, 40)),
+             "".join(chr(0x4E00 + i) for i in range(4000)), "w " + "".join(chr(0x4E00 + i) for i in range(2000)) + "\n\nend"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     got = {}
     for r in corpus.chunk_recursive(df).orderBy("i", "chunk_no").collect():
         got.setdefault(r["i"], []).append(r["chunk_text"])
-    for i, text in enumerate(TEXTS):
+    for i, text in enumerate(texts):
         at, covered = 0, set()
         for piece in got.get(i, []):
             assert 0 < len(piece) <= 900
@@ -48,8 +53,6 @@ def test_recursive_chunks_properties(spark):
         assert all(k in covered for k, ch in enumerate(text) if not ch.isspace())
 
 
-
-
 def test_extract_ids(spark):
     df = spark.createDataFrame([(1, "T1566.001 and T1566.001, T1059; CVE-2021-44228 xT12345")], "k int, text string")
     found = {(r["mention"], r["parent"]) for r in corpus.extract_ids(df, "k", technique_ids(F.col("text"))).collect()}
