@@ -12,7 +12,7 @@ from netsleuth.sources.tables import table
 FAMILY = Family()
 
 #: Runs of bytes other than space and tab to carriage return, as SQL array code over ``text``.
-_WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+_WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 _LOWER_WORDS = _WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
 
@@ -41,7 +41,7 @@ hit as (select doc_id, list(p) as ps from windows join firsts using (s) where do
 covered as (select doc_id, list(distinct q) as qs from (select doc_id, unnest(ps) as p from hit), unnest(range(p, p + 50)) as t(q) group by doc_id),
 rest as (select d.doc_id, w, coalesce(qs, []) as qs from docs d left join covered c using (doc_id))
 select doc_id, len(w)::bigint as n_words, len(qs)::bigint as n_removed,
-       sha256(array_to_string(list_filter(w, (x, i) -> not list_contains(qs, i)), ' ')) as kept_sha256
+       sha256(array_to_string(list_filter(w, lambda x, i: not list_contains(qs, i)), ' ')) as kept_sha256
 from rest
 """
 
@@ -74,7 +74,7 @@ def op5_ngram_jaccard(spark, folder):
 
 def _item_words(source, key):
     lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return (f"select {key}, list_filter(string_split_regex({lowered}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), w -> w <> '') as w "
+    return (f"select {key}, list_filter(string_split_regex({lowered}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w "
             f"from {source}")
 
 
