@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from netsleuth.llm import contamination, ngram_jaccard, packing, quality, shared, substring_dedup, toxicity, wavelet
+from netsleuth.llm import (
+    contamination, embedding_dedup, language_model, ngram_jaccard, packing, quality, shared, substring_dedup, toxicity,
+    url_filter, wavelet)
 from netsleuth.plans.registry import Family
 from netsleuth.sources.tables import table
 
@@ -51,6 +53,25 @@ def op3_substring_dedup(spark, folder):
     return substring_dedup.digest(table(spark, folder, "documents"))
 
 
+OP4_SQL = """
+with recursive raw as (select vec_id, embedding::double[] as v from embeddings where vec_id is not null),
+good as (select vec_id, v from raw where v is not null and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0
+           and len(list_filter(v, lambda x: x <> 0)) > 0),
+pairs as (select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+          where list_cosine_similarity(a.v, b.v) >= 0.95),
+reach as (select vec_id as a, vec_id as b from raw union select r.a, p.b from reach r join pairs p on r.b = p.a),
+roots as (select a as vec_id, min(b) as component_id from reach group by a),
+counts as (select a as vec_id, count(*) as n from pairs group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from raw join roots using (vec_id) left join counts using (vec_id)
+"""
+
+
+@FAMILY.register("op4_embedding_dedup", OP4_SQL)
+def op4_embedding_dedup(spark, folder):
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 OP5_SQL = f"""
 with recursive docs as (select doc_id, {_LOWER_WORDS} as w from documents),
 sets as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
@@ -104,8 +125,18 @@ def op7_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
+@FAMILY.register("op8_language_model")
+def op8_language_model(spark, folder):
+    return language_model.score_documents(table(spark, folder, "documents"))
+
+
 @FAMILY.register("op9_wavelet")
 def op9_wavelet(spark, folder):
     shards = shared.new_folder(spark, "tokens")
     wavelet.write_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), shards)
     return wavelet.read_tokens(spark, shards)
+
+
+@FAMILY.register("op10_url_filter")
+def op10_url_filter(spark, folder):
+    return url_filter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
