@@ -14,9 +14,11 @@ from __future__ import annotations
 import os
 import re
 
-CACHE = 400_000
+CACHE = 500_000
 GROUP = 64
 
+#: A single line end between words is a piece border on both sides; it travels as a mark at the front of the next word.
+_LINE, _MARK = re.compile(r"(?<=\S)\n(?=\S)"), "\x00"
 _SPACES = re.compile(r" (?=\s|\Z)")
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _WORD = re.compile(f"([{_LETTERS}]+)([.,;:!?|]*)")
@@ -38,6 +40,8 @@ class Encoder:
         spelt = lambda c: "".join(s for s, _ in spell.pre_tokenize_str(c))
         self.spelling = {c: spelt(chr(c)) for c in range(0xc0, 0x100)}
         self.lead = spelt(" ") if self.keeps_space else ""
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.line = self._whole(["\n"])[0]
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -45,6 +49,10 @@ class Encoder:
         """Parts of ``text`` between single spaces; the first part stands for itself."""
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
+        if _MARK in text:
+            return [text]
+        if "\n" in text:
+            text = _LINE.sub(" " + _MARK, text)
         parts = text.split(" ")
         if not _SPACES.search(text):
             return parts
@@ -71,27 +79,33 @@ class Encoder:
 
     def _learn(self, new) -> None:
         """Put the ids of new pieces into the cache."""
-        from array import array
-
         known, older, hard = self.known, self.older, []
-        merge, match = self.library.model.tokenize, _WORD.fullmatch
+        merge, match, spell, line = self.library.model.tokenize, _WORD.fullmatch, self.bytes_of, self.line
         for piece in new:
             ids = older.get(piece)
             if ids is not None:
                 known[piece] = ids
                 continue
-            plain = match(piece)
-            if plain is None:
-                hard.append(piece)
-                continue
-            core, tail = plain.groups()
+            lead, front, body = self.lead, b"", piece
+            if line and body[0] == _MARK:
+                lead, front, body = "", line, body[1:]
+            if body.isascii() and body.isalpha():
+                core, tail = body, ""
+            else:
+                plain = match(body)
+                if plain is None:
+                    hard.append(piece)
+                    continue
+                core, tail = plain.groups()
             if self.lowers:
                 core = core.lower()
-            ids = known.get(core) or older.get(core)
+            name = _MARK + core if front else core
+            ids = known.get(name) or older.get(name)
             if ids is None:
-                spelt = core if core.isascii() else core.translate(self.spelling)
-                ids = array("I", [t.id for t in merge(self.lead + spelt)]).tobytes()
-                known[core] = ids
+                ids = b"".join([spell[t.id] for t in merge(lead + (core if core.isascii() else core.translate(self.spelling)))])
+                if front:
+                    ids = front + ids
+                known[name] = ids
             if tail:
                 # kept apart by a tab, which no piece of this kind holds
                 end = known.get("\t" + tail)
@@ -101,7 +115,8 @@ class Encoder:
             known[piece] = ids
         lead = " " if self.keeps_space else ""
         if hard:
-            known.update(zip(hard, self._whole([lead + p for p in hard])))
+            spoken = ["\n" + p[1:] if self.line and p[0] == _MARK else lead + p for p in hard]
+            known.update(zip(hard, self._whole(spoken)))
 
     def _group(self, texts):
         cut = [self._pieces(t) for t in texts]
