@@ -17,6 +17,8 @@ from netsleuth.llm.shared import texts, written
 
 #: Rows up to which a table of benchmark terms or windows is sent to every task; larger ones are joined by a shuffle.
 SENT_ROWS = 200_000
+#: The same for a single column of document ids.
+SENT_IDS = 1_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -27,9 +29,9 @@ def item_words(text: Column) -> Column:
     return F.array_remove(cut, "")
 
 
-def _sent(table: DataFrame) -> DataFrame:
+def _sent(table: DataFrame, bound: int = SENT_ROWS) -> DataFrame:
     """The table with a broadcast hint if it is counted within the bound."""
-    return F.broadcast(table) if table.count() <= SENT_ROWS else table
+    return F.broadcast(table) if table.count() <= bound else table
 
 
 def benchmark_windows(items: DataFrame, width: int = 10) -> DataFrame:
@@ -87,21 +89,35 @@ def candidates(plans: DataFrame, postings: DataFrame, lists: int = 2) -> DataFra
     return found.select("win", "size", "doc_id", "start")
 
 
-def phrase_matches(documents: DataFrame, windows: DataFrame, lists: int = 2) -> DataFrame:
-    """(doc_id, cls, n_words, hits) of every text; hits are the (win, size, start) that occur in it.
+def phrase_hits(documents: DataFrame, windows: DataFrame, lists: int = 2) -> DataFrame:
+    """(doc_id, cls, hits) of the texts in which windows occur; hits are their (win, size, start).
 
-    ``cls`` hashes the text and tells rows of one doc_id apart. Null texts have no
-    words; rows without doc_id are left out; other columns are ignored.
+    ``cls`` hashes the text and tells rows of one doc_id apart; repeated rows give one.
     """
     plans, postings = build_index(documents, windows, lists)
-    per_doc = candidates(plans, postings, lists).groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_set(F.struct("win", "size", "start")).alias("_c"))
+    per_doc = written(candidates(plans, postings, lists).groupBy(F.col("doc_id").alias("_doc")).agg(
+        F.collect_set(F.struct("win", "size", "start")).alias("_c")), "candidates")
     docs = texts(documents).withColumn("cls", F.xxhash64("text"))
-    joined = docs.join(written(per_doc, "candidates"), F.col("doc_id") == F.col("_doc"), "left").select(
+    # only texts with candidates travel to them
+    asked = docs.join(_sent(per_doc.select("_doc"), SENT_IDS), F.col("doc_id") == F.col("_doc"), "left_semi")
+    joined = asked.join(per_doc, F.col("doc_id") == F.col("_doc")).select(
         "doc_id", "cls", item_words(F.col("text")).alias("_w"), "_c")
     same = lambda c: F.array_join(F.slice("_w", c["start"] + 1, c["size"]), " ") == c["win"]
-    return joined.select("doc_id", "cls", F.size("_w").cast("long").alias("n_words"), F.when(
-        F.col("_c").isNotNull(), F.filter("_c", same)).alias("hits"))
+    return joined.select("doc_id", "cls", F.filter("_c", same).alias("hits")).filter(F.size("hits") > 0).dropDuplicates(
+        ["doc_id", "cls"])
+
+
+def phrase_matches(documents: DataFrame, windows: DataFrame, lists: int = 2) -> DataFrame:
+    """(doc_id, cls, n_words, hits) of every text, from :func:`phrase_hits`; hits are null where nothing occurs.
+
+    Null texts have no words; rows without doc_id are left out; other columns are ignored.
+    """
+    hits = written(phrase_hits(documents, windows, lists), "hits").select(
+        F.col("doc_id").alias("_doc"), F.col("cls").alias("_cls"), "hits")
+    counted = texts(documents).select(
+        "doc_id", F.xxhash64("text").alias("cls"), F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
+    return counted.join(hits, (F.col("doc_id") == F.col("_doc")) & (F.col("cls") == F.col("_cls")), "left").select(
+        "doc_id", "cls", "n_words", "hits")
 
 
 def proximity_matches(documents: DataFrame, phrases: DataFrame, within: int = 8) -> DataFrame:
@@ -153,7 +169,6 @@ def report(documents: DataFrame, items: DataFrame, width: int = 10, lists: int =
 def clean(documents: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """The rows of ``documents`` in whose text no benchmark window occurs; rows without doc_id stay."""
     windows = written(benchmark_windows(items, width), "benchmark")
-    bad = phrase_matches(documents, windows).filter(F.size("hits") > 0).select(
-        F.col("doc_id").alias("__llm_id"), F.col("cls").alias("__llm_cls")).distinct()
+    bad = phrase_hits(documents, windows).select(F.col("doc_id").alias("__llm_id"), F.col("cls").alias("__llm_cls"))
     same = (documents["doc_id"].cast("long") == F.col("__llm_id")) & (F.xxhash64(documents["text"]) == F.col("__llm_cls"))
     return documents.join(written(bad, "contaminated"), same, "left_anti")
