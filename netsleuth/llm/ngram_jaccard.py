@@ -10,14 +10,16 @@ tile holds the documents that share one such shingle, ordered by set size.
 2. Inside a tile only sizes within the band meet. The bit counts of the 512-bit
    parity bitmaps bound the overlap from above; surviving pairs are walked breadth
    first, so a tile of m members gives fewer than m links, never all pairs.
-3. The linked classes form groups. Each member's text is shuffled once to its group,
-   where wider bitmaps bound the pairs again and the sorted arrays are intersected.
+3. The linked classes form groups. Each member's text is shuffled to two size bands of
+   its group, where wider bitmaps bound the pairs again and the sorted arrays are intersected.
 
 No shingle, document or pair is capped: an order of shingles changes the speed alone.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -281,6 +283,10 @@ def jaccard_components(documents: DataFrame, width: int = 3, num: int = 9, den:
     members = groups.unionByName(groups.select(F.col("component").alias("id"), "component")).distinct()
     members = members.join(classes.select("id", "n", "cls"), "id")
     asked = members.join(docs, members["id"] == docs["doc_id"]).select(F.col("component").alias("grp"), "n", "id", "cls", "text")
+    # a group is dealt out by bands of sizes: a set meets its own band and the next larger one, as far as a partner can be
+    band = F.floor(F.log("n") / (math.log(den / num) * (1 + 1e-9)))
+    asked = asked.withColumn("_band", F.explode(F.array(band, band + 1)))
+    asked = asked.select(F.xxhash64("grp", "_band").alias("grp"), "n", "id", "cls", "text")
     asked = asked.repartition("grp").sortWithinPartitions("grp", "n", "id")
     linked = components(asked.mapInArrow(_verify(width, num, den), "a long, b long"))
     named = classes.select("cls", F.col("id").alias("class_id")).join(
