@@ -49,9 +49,16 @@ def model_matrix(df: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 
 def feature_parity(a: DataFrame, b: DataFrame, key: str, columns: list[str], tol: float = 1e-9) -> DataFrame:
-    """Largest absolute difference per feature between two feature paths."""
-    right = b.select(F.col(key).alias("_k"), *[F.col(c).alias("_r_" + c) for c in columns])
-    joined = a.join(right, a[key] == right["_k"])
-    widest = joined.agg(*[F.max(F.abs(F.col(c) - F.col("_r_" + c))).alias(c) for c in columns])
-    long = widest.unpivot([], columns, "feature", "max_abs_diff")
-    return long.withColumn("within", F.col("max_abs_diff") <= tol)
+    """Per feature: the largest absolute difference between two feature paths, and the rows that cannot be compared.
+
+    ``missing`` counts keys absent on one side and values null on one side only; a
+    feature is ``within`` if there are none and no difference exceeds ``tol``.
+    """
+    side = lambda df, mark: df.select(F.col(key).alias("_k" + mark), *[F.col(c).alias(mark + c) for c in columns])
+    both = side(a, "_l_").join(side(b, "_r_"), F.col("_k_l_") == F.col("_k_r_"), "full_outer")
+    absent = F.col("_k_l_").isNull() | F.col("_k_r_").isNull()
+    lone = lambda c: absent | (F.col("_l_" + c).isNull() != F.col("_r_" + c).isNull())
+    sums = both.agg(*[F.struct(F.lit(c).alias("feature"), F.max(F.abs(F.col("_l_" + c) - F.col("_r_" + c))).cast("double").alias("max_abs_diff"),
+                               F.count_if(lone(c)).alias("missing")).alias(c) for c in columns])
+    long = sums.select(F.explode(F.array(*columns)).alias("_f")).select("_f.*")
+    return long.withColumn("within", (F.coalesce("max_abs_diff", F.lit(0.0)) <= tol) & (F.col("missing") == 0))

@@ -13,21 +13,27 @@ SUPPORT_BAR = 0.5
 def passages_containing(passages: DataFrame, documents: DataFrame, shingle: int = 6) -> DataFrame:
     """Documents holding a passage verbatim: (q_id, doc_id).
 
-    A run of words inside the passage must recur in such a document, so the pairs
-    come from an equi-join on that run and are then checked in full. ``passages`` is
-    (q_id, passage) with at least ``shingle`` + 2 words each, ``documents`` (doc_id, text).
+    The whole words inside a passage, its first and last left out, must recur in such a
+    document, so the pairs come from an equi-join on a run of up to ``shingle`` of them
+    and are then checked in full. Passages without an inner word, which have no such key,
+    are looked up in every text as the query set they are. ``passages`` is (q_id,
+    passage), ``documents`` (doc_id, text); null passages are held by no document.
     """
     words = tokens(F.col("passage"))
-    key = F.array_join(F.slice(words, 2, shingle), " ")
-    asked = passages.select("q_id", "passage", key.alias("_key"))
-    body = documents.select("doc_id", "text", tokens(F.col("text")).alias("_t"))
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("_t") - shingle + 1, F.lit(1))),
-        lambda i: F.array_join(F.slice("_t", i, shingle), " "))
+    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+    held = passages.filter(F.col("passage").isNotNull()).select("q_id", "passage", F.slice(inner, 1, shingle).alias("_run"))
+    asked = held.filter(F.size("_run") > 0).select("q_id", "passage", F.size("_run").alias("_n"), F.xxhash64("_run").alias("_key"))
+    # run lengths in use, ``shingle`` at most
+    lengths = asked.agg(F.collect_set("_n").alias("_ns")).select("_ns").scalar()
+    body = documents.select("doc_id", tokens(F.col("text")).alias("_t")).withColumn("_ns", lengths)
+    runs = F.flatten(F.transform("_ns", lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("_t") - n + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("_t", i, n)))))
     keyed = body.select("doc_id", F.explode(F.array_distinct(runs)).alias("_key"))
     pairs = keyed.join(asked.select("q_id", "_key"), "_key").select("q_id", "doc_id").distinct()
-    checked = pairs.join(documents, "doc_id").join(passages, "q_id")
-    return checked.filter(F.contains(F.col("text"), F.col("passage"))).select("q_id", "doc_id")
+    checked = pairs.join(documents, "doc_id").join(passages, "q_id").filter(F.contains(F.col("text"), F.col("passage")))
+    short = held.filter(F.size("_run") == 0).select("q_id", "passage")
+    found = documents.join(short, F.contains(F.col("text"), F.col("passage")))
+    return checked.select("q_id", "doc_id").unionByName(found.select("q_id", "doc_id")).distinct()
 
 
 def context_precision(hits: DataFrame, relevant: DataFrame) -> DataFrame:

@@ -98,14 +98,14 @@ def linear_importance(matrix: DataFrame, weights: dict[str, float], top: int = 1
     return long.select("feature", F.round("value", 6).alias("mean_abs")).orderBy(F.desc("mean_abs"), "feature").limit(top)
 
 
-def swap_importance(model, vectors: DataFrame, key: str, features: list[str] = MODEL_FEATURES, rows: int = 2000,
+def swap_importance(model, vectors: DataFrame, key: str, features: list[str] = MODEL_FEATURES,
                     top: int = 15, seed: int = 0) -> DataFrame:
     """Mean absolute change of the probability when one feature comes from another row.
 
-    Works for any model: each of up to ``rows`` sampled rows meets its neighbour in
-    hash order once, and lends every feature in turn.
+    Works for any model: each row meets its neighbour in hash order once, and lends
+    every feature in turn; the mean is over all rows.
     """
-    ranked = hash_rank(vectors, [key], seed, out="_rank").filter(F.col("_rank") <= rows)
+    ranked = hash_rank(vectors, [key], seed, out="_rank")
     ranked = durable(ranked.select(F.col("_rank"), vector_to_array("features").alias("_x")))
     n = ranked.agg(F.max("_rank")).scalar()
     partner = ranked.select((F.col("_rank") % n + 1).alias("_rank"), F.col("_x").alias("_other"))

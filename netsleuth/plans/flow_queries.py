@@ -161,7 +161,7 @@ def _(spark, d):
 
 
 @register("feature_parity", "select unnest([" + ", ".join(f"'{n}'" for n in ENGINEERED_FEATURES) + "]) as feature, "
-          "0.0::double as max_abs_diff, true as within")
+          "0.0::double as max_abs_diff, 0::bigint as missing, true as within")
 def _(spark, d):
     gold = cleaning.engineer(views.flows(spark, d))
     asked = views.flows(spark, d).select(

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from netsleuth.functions.schema import BUNDLE_SCHEMA, FLOW_SCHEMA
 
 
-def read_flows(spark: SparkSession, sources: list[str], schema=FLOW_SCHEMA,
-               max_rows: int | None = None) -> tuple[DataFrame, str]:
+def read_flows(spark: SparkSession, sources: list[str], schema=FLOW_SCHEMA) -> tuple[DataFrame, str]:
     """First readable CSV source of an ordered list, and which one it was.
 
     A source counts as readable when its header, read as a one-line probe, holds
-    every declared column. ``max_rows`` is the caller's development cap.
+    every declared column.
     """
     problems = []
     for path in sources:
@@ -31,8 +30,7 @@ def read_flows(spark: SparkSession, sources: list[str], schema=FLOW_SCHEMA,
         ordered = [next(f for f in schema.fields if f.name == c) if c in schema.fieldNames() else None for c in header]
         ddl = ", ".join(f"`{c}` {f.dataType.simpleString() if f else 'string'}" for c, f in zip(header, ordered))
         df = spark.read.schema(ddl).option("header", True).option("enforceSchema", False).csv(path)
-        df = df.select(*schema.fieldNames())
-        return (df.limit(max_rows) if max_rows is not None else df), f"csv:{path}"
+        return df.select(*schema.fieldNames()), f"csv:{path}"
     raise FileNotFoundError("no readable flow source: " + "; ".join(problems))
 
 

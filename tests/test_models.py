@@ -24,7 +24,7 @@ def test_train_evaluate_explain_score(spark, flows):
     model = training.train_detector(vectors, "flow_id", maxIter=5, maxDepth=3)
     scored = training.model_probability(model.transform(vectors), "score").withColumnRenamed("Label", "y")
     assert metrics.roc_auc(scored).first()[0] > 0.85
-    top = [r["feature"] for r in training.swap_importance(model, vectors, "flow_id", rows=300, top=5).collect()]
+    top = [r["feature"] for r in training.swap_importance(model, vectors, "flow_id", top=5).collect()]
     assert set(top) & {"IN_PKTS", "TOTAL_PKTS", "PKT_DIR_RATIO", "BYTES_PER_PKT_IN", "RETRANS_RATE"} and len(top) == 5
     asked = spark.createDataFrame([(1, {"IN_PKTS": 150.0}), (2, {"IN_PKTS": 1.0})], "id int, flow map<string,double>")
     rows = training.score_with_model(asked, "flow", ["id"], model, "m", "3", "staging").collect()
