@@ -67,7 +67,7 @@ def _pack(path, capacity, slack, keep_ids):
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * keep_ids
         kinds = [pa.int64()] * 7 + [pa.binary()] * keep_ids
         open_bins, rows, used = {}, [], 0
-        encode, end = encoder(path).encode, END_ID.to_bytes(4, "little")
+        encode, end = encoder(path).column, END_ID.to_bytes(4, "little")
 
         def close(pieces):
             nonlocal used
@@ -83,22 +83,18 @@ def _pack(path, capacity, slack, keep_ids):
             return batch
 
         for batch in batches:
-            column = batch.column("text")
-            doc_ids = batch.column("doc_id").to_pylist()
-            for a in range(0, len(doc_ids), 256):
-                part = [t or "" for t in column.slice(a, 256).to_pylist()]
-                for doc_id, ids in zip(doc_ids[a:a + 256], encode(part)):
-                    ids += end
-                    total, start = len(ids) // 4, 0
-                    for n in cut_lengths(total, capacity, slack):
-                        body = ids[4 * start:4 * (start + n)]
-                        piece = (doc_id, start, n, zlib.crc32(body), total) + ((body,) if keep_ids else ())
-                        k = capacity // n
-                        held = open_bins.setdefault(k, [])
-                        held.append(piece)
-                        if len(held) == k:
-                            close(open_bins.pop(k))
-                        start += n
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                ids += end
+                total, start = len(ids) // 4, 0
+                for n in cut_lengths(total, capacity, slack):
+                    body = ids[4 * start:4 * (start + n)]
+                    piece = (doc_id, start, n, zlib.crc32(body), total) + ((body,) if keep_ids else ())
+                    k = capacity // n
+                    held = open_bins.setdefault(k, [])
+                    held.append(piece)
+                    if len(held) == k:
+                        close(open_bins.pop(k))
+                    start += n
                 if len(rows) >= 8192:
                     yield flush()
         left = [piece for k in sorted(open_bins) for piece in open_bins[k]]

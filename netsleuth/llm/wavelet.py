@@ -47,7 +47,7 @@ class WaveletMatrix:
             planes.append(packed)
             zeros.append(len(codes) - int(np.count_nonzero(bit)))
             ranks.append(cls._ranks(packed))
-            codes = np.concatenate([codes[~bit], codes[bit]])
+            codes = np.concatenate([codes.compress(~bit), codes.compress(bit)])
         return cls(len(ids), alphabet, planes, zeros, ranks)
 
     @staticmethod
@@ -74,8 +74,8 @@ class WaveletMatrix:
         for level in reversed(range(depth)):
             bit, zeros = self._bits(level), self.zeros[level]
             up = np.empty_like(codes)
-            up[~bit] = codes[:zeros]
-            up[bit] = codes[zeros:] | kind(1 << (depth - 1 - level))
+            up[np.flatnonzero(~bit)] = codes[:zeros]
+            up[np.flatnonzero(bit)] = codes[zeros:] | kind(1 << (depth - 1 - level))
             codes = up
         return self.alphabet[codes]
 
@@ -161,7 +161,7 @@ def _encode(path):
 
         context = TaskContext.get()
         shard, segment = context.partitionId() if context else 0, 0
-        encode, end = encoder(path).encode, END_ID.to_bytes(4, "little")
+        encode, end = encoder(path).column, END_ID.to_bytes(4, "little")
         docs, bodies, size = [], [], 0
 
         def flush():
@@ -175,16 +175,14 @@ def _encode(path):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], names=list(row))
 
         for batch in batches:
-            column, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
-            for a in range(0, len(doc_ids), 128):
-                for doc_id, ids in zip(doc_ids[a:a + 128], encode([t or "" for t in column.slice(a, 128).to_pylist()])):
-                    docs.append(doc_id)
-                    bodies.append(ids + end)
-                    size += len(ids) // 4 + 1
-                    # an Arrow column of one row holds any document whole
-                    if size >= SEGMENT:
-                        yield flush()
-                        docs, bodies, size, segment = [], [], 0, segment + 1
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                docs.append(doc_id)
+                bodies.append(ids + end)
+                size += len(ids) // 4 + 1
+                # an Arrow column of one row holds any document whole
+                if size >= SEGMENT:
+                    yield flush()
+                    docs, bodies, size, segment = [], [], 0, segment + 1
         if docs:
             yield flush()
 
