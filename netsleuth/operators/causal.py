@@ -141,7 +141,10 @@ def placebo_effects(df: DataFrame, unit: str, t: str, y: str, confounders: list[
     the units with the lowest md5(s, unit), as many as are treated. The cut hash is
     found from prefix counts, so no simulation sorts or joins its units.
     """
-    treated = df.agg(F.sum(F.col(t).cast("bigint"))).scalar()
+    found = df.agg(F.sum(F.col(t).cast("bigint")).alias("n"), F.count_if(~F.col(t).cast("double").isin(0.0, 1.0)).alias("odd")).first()
+    if found["odd"]:
+        raise ValueError(f"the treatment {t} has {found['odd']} values other than 0 and 1")
+    treated = F.lit(found["n"])
     units = df.select(unit, F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))).alias("sim"))
     units = units.withColumn("_h", _sim_hash("sim", unit))
     sizes = units.groupBy("sim", hash_prefix(df, F.col("_h")).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
@@ -235,7 +238,7 @@ def _fit_logistic(df: DataFrame, features: list[str], label: str):
     train = VectorAssembler(inputCols=features, outputCol="_x").transform(
         df.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("double").alias("_y")))
     model = LogisticRegression(
-        featuresCol="_x", labelCol="_y", regParam=1.0 / df.count(), elasticNetParam=0.0,
+        featuresCol="_x", labelCol="_y", regParam=1.0 / max(1, df.count()), elasticNetParam=0.0,
         standardization=False, maxIter=1000, tol=1e-8).fit(train)
     weights = dict(zip(features, (float(w) for w in model.coefficients)))
 

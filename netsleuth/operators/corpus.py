@@ -78,8 +78,8 @@ def chunk_recursive(df: DataFrame, text: str = "text", size: int = CHUNK_SIZE, o
         """Split ``body`` into spans no longer than ``size``, separators kept with the text after them."""
         if len(body) <= size:
             return [body]
-        level = next(i for i, s in enumerate(seps) if s == "" or s in body)
-        sep = seps[level]
+        # without a separator that occurs, characters are the pieces
+        level, sep = next(((i, s) for i, s in enumerate(seps) if s in body), (len(seps), ""))
         if sep == "":
             return list(body)
         head, *rest = body.split(sep)

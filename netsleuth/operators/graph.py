@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,15 +105,17 @@ def leaked_edges(message: DataFrame, split: DataFrame) -> DataFrame:
     return held.join(message, ["src", "dst"], "left_semi")
 
 
-WALK_STEP = 2305843009213693951  # 2^61 - 1, a prime above any pair count
+GOLDEN = 0.6180339887498949  # turns by this share of a circle fall evenly on it
 
 
 def sample_negatives(nodes: DataFrame, edges: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """min(n, available) distinct (group, technique) pairs that are no edge.
 
-    Pair codes step through all group x technique cells by a fixed prime, so no cell
-    repeats before all are seen. The first n + |edges| steps must hold n non-edges;
-    they are generated in place, and no cell beyond them is ever formed.
+    Pair codes step through all group x technique cells by the first number from the
+    golden share of the cells on that has no factor in common with them. So no cell
+    repeats before all are seen, and any run of steps falls evenly on groups and on
+    techniques. The first n + |edges| steps must hold n non-edges; they are generated
+    in place, and no cell beyond them is ever formed.
     """
     spark = nodes.sparkSession
     known = edges.select("src", "dst").distinct()
@@ -121,7 +125,9 @@ def sample_negatives(nodes: DataFrame, edges: DataFrame, n: int, seed: int = 42)
     steps = min(cells, n + known.count())
     if steps == 0:
         return known.limit(0)
-    stride = WALK_STEP % cells if cells > 1 else 0
+    stride = int(cells * GOLDEN)
+    while math.gcd(stride, cells) != 1:
+        stride += 1
     wide = "decimal(38,0)"
     code = (
         F.col("id").cast("decimal(18,0)") * F.lit(stride).cast("decimal(19,0)") + F.lit(seed).cast("decimal(10,0)")

@@ -85,17 +85,18 @@ def find_group(indexed_nodes: DataFrame, text: str) -> DataFrame:
         "idx", "id", "name").orderBy("idx")
 
 
-def rank_techniques(nodes: DataFrame, z: DataFrame, known: DataFrame, group: str, vector: str = "z") -> DataFrame:
+def rank_techniques(nodes: DataFrame, z: DataFrame, known: DataFrame, group: str | None, vector: str = "z") -> DataFrame:
     """Every technique by its score for one group, best first, with a known flag.
 
-    Equal scores follow md5 order of the id, so a large tie spreads over tasks.
+    Equal scores follow md5 order of the id, so a large tie spreads over tasks. A group
+    that has no vector, or None, gives no rows.
     """
     wanted = z.filter(F.col("id") == group).agg(F.first(vector)).scalar()
     techniques = nodes.filter(F.col("kind") == "technique").select("id", "name", "ext_id")
     documented = known.filter(F.col("src") == group).select(F.col("dst").alias("_known")).distinct()
     vectors = z.select(F.col("id").alias("_z"), F.col(vector).alias("_v"))
     scored = (
-        techniques.join(vectors, F.col("id") == F.col("_z")).withColumn("_w", wanted)
+        techniques.join(vectors, F.col("id") == F.col("_z")).withColumn("_w", wanted).filter(F.col("_w").isNotNull())
         .withColumn("score", F.round(sigmoid(dot(F.col("_v"), F.col("_w"))), 4))
         .join(documented, F.col("id") == F.col("_known"), "left")
         .select("id", F.col("ext_id").alias("technique_id"), "name", "score", F.col("_known").isNotNull().alias("known")))

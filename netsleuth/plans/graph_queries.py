@@ -48,9 +48,11 @@ NEGATIVES_SQL = (
     "kinds as (select id, kind, " + INDEX_SQL.format(part="partition by kind") + " as idx from nodes), "
     "dims as (select count(*) filter (where kind = 'group') as ng, count(*) filter (where kind = 'technique') as nt from nodes), "
     "target as (select distinct src, dst from edges where rel = 'group_uses_technique'), "
+    "strides as (select min(s) as stride from (select unnest(range(floor(ng * nt * 0.6180339887498949::double)::bigint, "
+    "floor(ng * nt * 0.6180339887498949::double)::bigint + 1000)) as s, ng * nt as cells from dims) where gcd(s, cells) = 1), "
     f"steps as (select unnest(range(least(ng * nt, {N_HELD} + (select count(*) from target)))) as step, "
     "ng * nt as cells, nt from dims), "
-    "walk as (select step, ((step::hugeint * (2305843009213693951::hugeint % cells) + 42) % cells)::bigint as code, nt from steps), "
+    "walk as (select step, ((step::hugeint * stride + 42) % cells)::bigint as code, nt from steps, strides), "
     "negatives as (select g.id as src, t.id as dst from walk join kinds g on g.kind = 'group' and g.idx = code // nt "
     "join kinds t on t.kind = 'technique' and t.idx = code % nt "
     "anti join target on g.id = target.src and t.id = target.dst "
@@ -210,7 +212,9 @@ def ranked_for_first(spark, d):
     linked = edges(spark, d)
     known = linked.filter(F.col("rel") == graph.TARGET)
     z = vectors(spark, d, linked).select("id", F.array(*DIMS).alias("z"))
-    group = links.find_group(graph.dense_index(nodes(spark, d)), GROUP_TEXT).first()["id"]
+    group = links.find_group(graph.dense_index(nodes(spark, d)), GROUP_TEXT).first()
+    # no group of that name has no ranking
+    group = group and group["id"]
     return links.rank_techniques(nodes(spark, d), z, known, group)
 
 

@@ -1,5 +1,7 @@
 """Graph build, splits, negatives, message passing and ranking on small graphs."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,20 +46,31 @@ def typed(spark, groups, techniques):
                                  "id string, kind string, name string, ext_id string")
 
 
-def test_negatives_are_typed_distinct_non_edges(spark):
-    nodes = typed(spark, 2, 3)
-    edges = spark.createDataFrame([("g0", "t0"), ("g1", "t1")], "src string, dst string")
-    pairs = [tuple(r) for r in graph.sample_negatives(nodes, edges, 5).collect()]
-    assert len(pairs) == len(set(pairs)) == 4 and not set(pairs) & {("g0", "t0"), ("g1", "t1")}
-    assert all(s[0] == "g" and d[0] == "t" for s, d in pairs)
-    some = graph.sample_negatives(typed(spark, 30, 40), edges, 200)
-    assert some.count() == 200 and some.distinct().count() == 200
+@pytest.mark.parametrize("groups, techniques, wanted", [(16, 32, 96), (7, 11, 60), (5, 9, 1000), (1, 1, 3), (0, 4, 2)])
+def test_negatives_fall_evenly_on_what_is_no_edge(spark, groups, techniques, wanted):
+    edges = {(f"g{g}", f"t{t}") for g in range(groups) for t in range(techniques) if (3 * g + 5 * t) % 7 == 0}
+    free = {(f"g{g}", f"t{t}") for g in range(groups) for t in range(techniques)} - edges
+    known = spark.createDataFrame(sorted(edges), "src string, dst string")
+    found = [tuple(r) for r in graph.sample_negatives(typed(spark, groups, techniques), known, wanted).collect()]
+    assert len(found) == min(wanted, len(free)) and len(set(found)) == len(found) and set(found) <= free
+    if len(found) < len(free):
+        per_group = Counter(src for src, _ in found)
+        assert len(per_group) == groups and max(per_group.values()) <= 2 * len(found) / groups + 2
+
+
+def test_no_ranking_without_a_vector(spark):
+    z = spark.createDataFrame([("t0", [0.2])], "id string, z array<double>")
+    known = spark.createDataFrame([], "src string, dst string")
+    assert links.rank_techniques(typed(spark, 1, 1), z, known, "g0").count() == 0
+    assert links.rank_techniques(typed(spark, 1, 1), z, known, None).count() == 0
 
 
 def test_undirected_and_leak(spark):
     edges = spark.createDataFrame([(f"g{i}", f"t{i}", "group_uses_technique") for i in range(20)] + [("s0", "t0", "software_uses_technique")],
                                   "src string, dst string, rel string")
-    assert graph.undirected(edges.select("src", "dst").limit(2)).count() == 4
+    once = [(r["src"], r["dst"]) for r in edges.collect()]
+    both = [tuple(r) for r in graph.undirected(edges.select("src", "dst")).collect()]
+    assert sorted(both) == sorted(once + [(b, a) for a, b in once])
     split = graph.target_split(edges, 0.1, 0.1)
     message = graph.message_edges(edges, split)
     assert graph.leaked_edges(message, split).count() == 0 and message.count() == 2 * (16 + 1)
