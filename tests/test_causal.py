@@ -73,3 +73,9 @@ def test_strata_fall_back_and_constant_propensity(spark):
     flat = df.withColumn("one", F.lit("x"))
     effects = causal.strata_effects(flat, "t", "y", ["one"]).first()
     assert effects["ipw"] == pytest.approx(causal.naive_ate(flat, "t", "y").first()[0])
+
+
+def test_placebo_takes_only_zero_and_one(spark):
+    units = spark.createDataFrame([(i, i % 3, float(i), float(i % 5)) for i in range(30)], "u long, t int, y double, c double")
+    with pytest.raises(ValueError, match="other than 0 and 1"):
+        causal.placebo_effects(units, "u", "t", "y", ["c"], 2)

@@ -194,3 +194,10 @@ def test_long_run_steps_are_in_order(spark, monkeypatch):
     messages = spark.range(100).select(F.lit(1).alias("run"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 1, F.col("id").cast("string")).alias("tool"), F.lit("t").alias("text"))
     rows = runs.trajectories(messages).orderBy("step").collect()
     assert [r["tool"] for r in rows] == [str(i) for i in range(1, 100, 2)] and [r["step"] for r in rows] == list(range(1, 51))
+
+
+def test_recursive_chunks_without_an_empty_separator(spark):
+    body = "aaaa bbbb\ncccccccccccccccc dd"
+    df = spark.createDataFrame([(body,)], "text string")
+    got = [r["chunk_text"] for r in corpus.chunk_recursive(df, size=6, overlap=0, separators=["\n", " "]).orderBy("chunk_no").collect()]
+    assert max(map(len, got)) <= 6 and "".join("".join(got).split()) == "".join(body.split())
