@@ -1,10 +1,11 @@
 """N-gram Jaccard join: size-banded tiles, bitmap signatures, exact intersection.
 
 Every document becomes the sorted array of its distinct word shingles. A shingle id
-holds its length class in the top byte (longer first) and 56 bits of its hash below,
-so that sorting by id puts the rarest-looking shingles first. Two sets that reach the
-similarity share a shingle among the first ``n - ceil(t n) + 1`` of both arrays; a
-tile holds the documents that share one such shingle, ordered by set size.
+holds its length class in the top byte (longer first) and 56 bits of its hash below.
+The shingles of ``SAMPLE`` documents are counted; those that several of them hold come
+last, by their count, all others first, by id. Two sets that reach the similarity share
+a shingle among the first ``n - ceil(t n) + 1`` in that order; a tile holds the
+documents that share one such shingle, ordered by set size.
 
 1. Equal sets collapse into one class (a 64-bit set hash; classes are then one row).
 2. Inside a tile only sizes within the band meet. The bit counts of the 512-bit
@@ -13,6 +14,9 @@ tile holds the documents that share one such shingle, ordered by set size.
 3. The linked classes form groups. Each member's text is shuffled to two size bands of
    its group, where wider bitmaps bound the pairs again and the sorted arrays are intersected.
 
+A tile or size band beyond one block is dealt out (``_spanning``): first each block is walked by itself, then one row
+of each set linked so far, then pairs of blocks for what is still apart, so a task holds two blocks at most.
+
 No shingle, document or pair is capped: an order of shingles changes the speed alone.
 """
 
@@ -27,6 +31,16 @@ from netsleuth.llm.shared import components, texts, written
 
 SMALL_GROUP = 48
 TILE_BITS = 512
+#: Documents whose shingles are counted, and in how many of them a shingle is common.
+SAMPLE = 10_000
+COMMON = 4
+#: Rows of a block of a tile.
+TILE_BLOCK = 4096
+#: Shingles of a block of a group; a row counts ROW_MASS more.
+GROUP_BLOCK = 1 << 21
+ROW_MASS = 512
+#: Dealt units that may be broadcast.
+MOST_SENT = 100_000
 
 
 def _shingles(words, row, width):
@@ -87,6 +101,24 @@ def _walk(bitmaps, sizes, num, den, check=None):
     return found
 
 
+def _across(bitmaps, sizes, side, comp, num, den, check=None):
+    """Links (i, j) from rows of side 0 to rows of side 1, both ordered by size, that join different ``comp``."""
+    import numpy as np
+
+    found, comp = [], np.unique(comp, return_inverse=True)[1]
+    right = np.flatnonzero(side == 1)
+    ordered = sizes[right]
+    for i in np.flatnonzero(side == 0):
+        a = np.searchsorted(ordered, -(-num * sizes[i] // den), side="left")
+        b = np.searchsorted(ordered, den * sizes[i] // num, side="right")
+        others = right[a:b]
+        for j in _near(bitmaps, sizes, i, others[comp[others] != comp[i]], num, den):
+            if comp[j] != comp[i] and (check is None or check(i, j)):
+                found.append((i, j))
+                comp[comp == comp[j]] = comp[i]
+    return found
+
+
 def _groups(batches, key):
     """Tables of whole groups from a stream sorted by ``key``; only the open group is carried over."""
     import pyarrow as pa
@@ -109,7 +141,52 @@ def _groups(batches, key):
         yield pa.concat_tables(held)
 
 
-def _describe(width, num, den):
+def _sampled(width):
+    """Kernel: the shingles of every text, once for each text."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        from netsleuth.llm.words import signed, word_chunks
+
+        for batch in batches:
+            for a, b, words in word_chunks(batch.column("text"), lower=True):
+                flat = np.concatenate([_shingles(words, row, width) for row in range(b - a)])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(flat))], names=["key"])
+
+    return run
+
+
+def common_shingles(docs: DataFrame, width: int):
+    """(ids, counts) of the shingles that at least COMMON of SAMPLE documents hold, ordered by id.
+
+    They order the shingles of all documents; SAMPLE bounds the table whatever the size of the input.
+    """
+    import numpy as np
+
+    every = max(1, docs.count() // SAMPLE)
+    some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(every)) == 0)
+    counted = some.select("text").mapInArrow(_sampled(width), "key long").groupBy("key").agg(
+        F.count(F.lit(1)).alias("count")).filter(F.col("count") >= COMMON).toArrow()
+    ids = np.ascontiguousarray(counted.column("key").to_numpy()).view(np.uint64)
+    order = np.argsort(ids)
+    return ids[order], counted.column("count").to_numpy()[order]
+
+
+def _prefix(s, k, common):
+    """The ``k`` rarest of the sorted shingles ``s``."""
+    import numpy as np
+
+    ids, counts = common
+    if not len(ids) or not len(s):
+        return s[:k]
+    at = np.minimum(np.searchsorted(ids, s), len(ids) - 1)
+    held = np.where(ids[at] == s, counts[at], 0)
+    return s[np.argsort(held, kind="stable")[:k]]
+
+
+def _describe(width, num, den, shipped):
     """Kernel: (doc_id, n, cls, bitmap, keys) of every text; keys are the shingles that must meet."""
 
     def run(batches):
@@ -118,6 +195,7 @@ def _describe(width, num, den):
 
         from netsleuth.llm.words import mix, signed, word_chunks
 
+        common = shipped.value
         for batch in batches:
             ids = batch.column("doc_id")
             for a, b, words in word_chunks(batch.column("text"), lower=True):
@@ -127,7 +205,7 @@ def _describe(width, num, den):
                     sizes.append(len(s))
                     classes.append(np.sum(mix(s), dtype=np.uint64) ^ np.uint64(len(s)))
                     bitmaps.append(_bitmap(s, TILE_BITS).tobytes() if len(s) else b"")
-                    keys.append(signed(s[:len(s) + (-num * len(s) // den) + 1] if len(s) else s))
+                    keys.append(signed(_prefix(s, len(s) + (-num * len(s) // den) + 1, common) if len(s) else s))
                 flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -173,19 +251,29 @@ def _shared_keys():
     return run
 
 
-def _tiles(num, den):
-    """Kernel over tiles sorted by (key, n, id): candidate links that the bit counts allow."""
+def _tiles(num, den, apart=False):
+    """Kernel over tiles sorted by (grp, n, id): candidate links that the bit counts allow.
+
+    With ``apart``, over pairs of blocks sorted by (grp, side, n, id): candidate links between different ``comp``.
+    """
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         def links(table):
-            key = table.column("key").to_numpy()
+            key = table.column("grp").to_numpy()
             ids, sizes = table.column("id").to_numpy(), table.column("n").to_numpy()
             bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), dtype=np.uint64).reshape(len(key), -1)
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=int)
             counts = np.diff(np.concatenate([starts, [len(key)]]))
+            if apart:
+                side, comp = table.column("side").to_numpy(), table.column("comp").to_numpy()
+                for s, m in zip(starts, counts):
+                    part = slice(s, s + m)
+                    for i, j in _across(bits[part], sizes[part], side[part], comp[part], num, den):
+                        yield ids[s + i], ids[s + j]
+                return
             for s, m in zip(starts[counts > SMALL_GROUP], counts[counts > SMALL_GROUP]):
                 for i, j in _walk(bits[s:s + m], sizes[s:s + m], num, den):
                     yield ids[s + i], ids[s + j]
@@ -198,11 +286,11 @@ def _tiles(num, den):
                     i, j = (part[:, None] + u).ravel(), (part[:, None] + v).ravel()
                     fits = den * sizes[i] >= num * sizes[j]
                     i, j = i[fits], j[fits]
-                    apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-                    fits = (den + num) * apart <= (den - num) * (sizes[i] + sizes[j])
+                    differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+                    fits = (den + num) * differ <= (den - num) * (sizes[i] + sizes[j])
                     yield from zip(ids[i[fits]], ids[j[fits]])
 
-        for table in _groups(batches, "key"):
+        for table in _groups(batches, "grp"):
             found = np.array(list(links(table)), dtype=np.int64).reshape(-1, 2)
             found = np.unique(np.sort(found, axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
@@ -210,8 +298,11 @@ def _tiles(num, den):
     return run
 
 
-def _verify(width, num, den):
-    """Kernel over candidate groups sorted by (grp, n, id): links proved on the sorted arrays."""
+def _verify(width, num, den, apart=False):
+    """Kernel over candidate groups sorted by (grp, n, id): links proved on the sorted arrays.
+
+    With ``apart``, over pairs of blocks sorted by (grp, side, n, id): proved links between different ``comp``.
+    """
 
     def run(batches):
         import numpy as np
@@ -220,8 +311,9 @@ def _verify(width, num, den):
         from netsleuth.llm.words import mix, signed, word_chunks
 
         def links(table):
-            ids, sets = [], []
+            ids, sets, kept = [], [], []
             text, want, key = table.column("text"), table.column("cls").to_numpy(), table.column("id").to_numpy()
+            side = table.column("side").to_numpy() if apart else np.zeros(len(key), dtype=np.int64)
             done = 0
             for piece in text.chunks:
                 for a, b, words in word_chunks(piece, lower=True):
@@ -230,9 +322,10 @@ def _verify(width, num, den):
                         at = done + a + row
                         cls = signed(mix(np.array([np.sum(mix(s), dtype=np.uint64) ^ np.uint64(len(s))], dtype=np.uint64)))[0]
                         # a repeated id brings other rows along; keep the row of this class, once
-                        if cls == want[at] and not (ids and ids[-1] == key[at]):
+                        if cls == want[at] and not (ids and ids[-1] == key[at] and side[kept[-1]] == side[at]):
                             ids.append(key[at])
                             sets.append(s)
+                            kept.append(at)
                 done += len(piece)
             if len(ids) < 2:
                 return []
@@ -246,6 +339,9 @@ def _verify(width, num, den):
                 both = int((large[at] == small).sum())
                 return den * both >= num * (sizes[i] + sizes[j] - both)
 
+            if apart:
+                comp = table.column("comp").to_numpy()[kept]
+                return [(ids[i], ids[j]) for i, j in _across(bits, sizes, side[kept], comp, num, den, reaches)]
             return [(ids[i], ids[j]) for i, j in _walk(bits, sizes, num, den, reaches)]
 
         for table in _groups(batches, "grp"):
@@ -258,6 +354,59 @@ def _verify(width, num, den):
     return run
 
 
+def _spanning(placed, load, mass, most, within, across):
+    """Links (a, b) that connect, in every unit of ``placed`` (unit, id, n, cls), what comparing all its rows would.
+
+    ``load`` adds what the kernels read to each row. A unit of at most ``most`` of ``mass`` is one group. A larger one is
+    dealt into blocks by id; then the smallest id of each set linked so far stands for it, round by round, while that
+    halves the rows. What is then still apart is compared in full: each row outside the unit's largest set meets all
+    rows of other sets, by pairs of blocks.
+    """
+    links = "a long, b long"
+    sent = lambda df: F.broadcast(df) if df.count() <= MOST_SENT else df
+    block = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), blocks)
+
+    def walked(rows):
+        hot = written(rows.groupBy("unit").agg(F.ceil(F.sum(mass) / most).alias("blocks")).filter("blocks > 1"), "hot")
+        dealt = rows.join(sent(hot), "unit", "left").withColumn(
+            "grp", F.when(F.col("blocks").isNull(), F.col("unit")).otherwise(F.xxhash64("unit", block(F.col("blocks"), 5))))
+        dealt = load(dealt.select("grp", "n", "id", "cls")).repartition("grp").sortWithinPartitions("grp", "n", "id")
+        return written(dealt.mapInArrow(within, links), "links"), hot
+
+    def labelled(rows, found):
+        return written(rows.select("unit", "id", "n", "cls").join(components(found), "id", "left").withColumn(
+            "comp", F.coalesce("component", "id")).drop("component"), "labelled")
+
+    found, hot = walked(placed)
+    if hot.isEmpty():
+        return found
+    whole = placed.join(sent(hot), "unit")
+    rows = named = labelled(whole, found)
+    while True:
+        sets = rows.groupBy("unit", "comp").agg(F.min(F.struct("id", "n", "cls")).alias("_r")).select("unit", "_r.*", "comp")
+        sets = written(sets, "sets")
+        if 2 * sets.count() > rows.count():
+            break
+        found = found.unionByName(walked(sets)[0])
+        rows, named = labelled(sets, found), labelled(whole, found)
+    sets = named.groupBy("unit", "comp").agg(F.sum(mass).alias("_m"))
+    units = written(sets.groupBy("unit").agg(
+        F.max_by("comp", F.struct("_m", "comp")).alias("main"), F.count(F.lit(1)).alias("_kinds"),
+        F.ceil(F.sum("_m") / most).alias("all"), F.ceil((F.sum("_m") - F.max("_m")) / most).alias("rest")).filter(
+        "_kinds > 1").drop("_kinds"), "units")
+    if units.isEmpty():
+        return found
+    own = lambda i, j, side: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(side).alias("side"))
+    every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    asks = F.transform(every(F.col("all")), lambda o: own(block(F.col("rest"), 6), o, 0))
+    told = F.transform(every(F.col("rest")), lambda o: own(o, block(F.col("all"), 5), 1))
+    pairs = named.join(sent(units), "unit").withColumn(
+        "_p", F.explode(F.when(F.col("comp") != F.col("main"), F.concat(asks, told)).otherwise(told)))
+    pairs = load(pairs.select(F.xxhash64("unit", "_p.i", "_p.j").alias("grp"), "_p.side", "comp", "n", "id", "cls"))
+    pairs = pairs.repartition("grp").sortWithinPartitions("grp", "side", "n", "id")
+    return found.unionByName(written(pairs.mapInArrow(across, links), "links"))
+
+
 def jaccard_components(documents: DataFrame, width: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every document.
 
@@ -268,27 +417,34 @@ def jaccard_components(documents: DataFrame, width: int = 3, num: int = 9, den:
     Rows without doc_id are left out, further columns ignored.
     """
     docs = texts(documents)
+    shipped = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
     described = written(docs.mapInArrow(
-        _describe(width, num, den), "doc_id long, n long, cls long, bitmap binary, keys array<long>"), "shingles")
+        _describe(width, num, den, shipped), "doc_id long, n long, cls long, bitmap binary, keys array<long>"), "shingles")
     filled = described.filter("n > 0")
     classes = written(filled.groupBy("cls").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "classes")
     keyed = filled.select(F.explode("keys").alias("key"), "cls").repartition("key").sortWithinPartitions("key", "cls")
     shared = keyed.mapInArrow(_shared_keys(), "key long, cls long")
-    tiles = shared.join(classes, "cls").select("key", "n", "id", "bitmap")
-    tiles = tiles.repartition("key").sortWithinPartitions("key", "n", "id")
-    groups = components(tiles.mapInArrow(_tiles(num, den), "a long, b long"))
+    # by bands of sizes: a set meets its own band and the next larger one, as far as a partner can be
+    band = F.floor(F.log("n") / (math.log(den / num) * (1 + 1e-9)))
+    bands = F.array(band, band + 1)
+    tiles = written(shared.join(classes.select("cls", "n", "id"), "cls"), "tiles")
+    large = written(tiles.groupBy("key").count().filter(F.col("count") > TILE_BLOCK).select("key", F.lit(True).alias("_large")), "large")
+    tiles = tiles.join(F.broadcast(large) if large.count() <= MOST_SENT else large, "key", "left").withColumn(
+        "_band", F.explode(F.when(F.col("_large"), bands).otherwise(F.array(F.lit(None).cast("long")))))
+    tiles = tiles.select(F.when(F.col("_large"), F.xxhash64("key", "_band")).otherwise(F.col("key")).alias("unit"), "id", "n", "cls")
+    groups = components(_spanning(
+        tiles, lambda rows: rows.join(classes.select("id", "bitmap"), "id"), F.lit(1), TILE_BLOCK,
+        _tiles(num, den), _tiles(num, den, apart=True)))
     groups = written(groups.select("id", "component"), "groups")
     # the smallest id of a group is a member too
     members = groups.unionByName(groups.select(F.col("component").alias("id"), "component")).distinct()
     members = members.join(classes.select("id", "n", "cls"), "id")
-    asked = members.join(docs, members["id"] == docs["doc_id"]).select(F.col("component").alias("grp"), "n", "id", "cls", "text")
-    # a group is dealt out by bands of sizes: a set meets its own band and the next larger one, as far as a partner can be
-    band = F.floor(F.log("n") / (math.log(den / num) * (1 + 1e-9)))
-    asked = asked.withColumn("_band", F.explode(F.array(band, band + 1)))
-    asked = asked.select(F.xxhash64("grp", "_band").alias("grp"), "n", "id", "cls", "text")
-    asked = asked.repartition("grp").sortWithinPartitions("grp", "n", "id")
-    linked = components(asked.mapInArrow(_verify(width, num, den), "a long, b long"))
+    members = written(members.withColumn("_band", F.explode(bands)).select(
+        F.xxhash64("component", "_band").alias("unit"), "id", "n", "cls"), "members")
+    linked = components(_spanning(
+        members, lambda rows: rows.join(docs, rows["id"] == docs["doc_id"]).drop("doc_id"), F.col("n") + ROW_MASS, GROUP_BLOCK,
+        _verify(width, num, den), _verify(width, num, den, apart=True)))
     named = classes.select("cls", F.col("id").alias("class_id")).join(
         linked, F.col("class_id") == linked["id"], "left").select("cls", "class_id", "component")
     return described.select("doc_id", "n", "cls").join(written(named, "named"), "cls", "left").select(

@@ -122,6 +122,44 @@ def test_jaccard_walk_finds_every_component_of_a_large_tile():
     assert {i: find(i) for i in root} == want
 
 
+def test_jaccard_deals_large_tiles_and_groups_out(spark, monkeypatch):
+    """Blocks of a few rows give the same components, and no task holds more than two of them."""
+    rng = np.random.default_rng(12)
+    lexicon = [f"w{i}" for i in range(500)]
+    base = list(rng.choice(lexicon, 80))
+    texts = {}
+    for i in range(160):  # near copies in several sets, all with one long common line
+        w = list(base) if i % 2 else list(rng.choice(lexicon, 80))
+        for at in rng.integers(0, 80, int(rng.integers(0, 4))):
+            w[at] = f"x{rng.integers(0, 9)}"
+        texts[i] = " ".join(w) + " boilerplateboilerplate longlonglonglonglong linelinelinelineline"
+    made = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    sets = {i: {tuple(w[k:k + 3]) for k in range(len(w) - 2)} for i, t in texts.items() for w in [words(t, True)]}
+    want = groups_of(sets, 9, 10)
+    whole = ngram_jaccard._spanning
+
+    def spied(placed, load, mass, most, within, across):
+        def bounded(kernel, blocks):
+            def run(batches):
+                import pyarrow as pa
+
+                batches = list(batches)
+                if batches:
+                    sizes = pa.Table.from_batches(batches).group_by("grp").aggregate([("id", "count")]).column("id_count").to_pylist()
+                    # blocks are dealt by hash, so one may hold some rows more than 8
+                    if sizes and max(sizes) > 24 * blocks:
+                        raise AssertionError(f"{max(sizes)} rows in one task")
+                yield from kernel(iter(batches))
+            return run
+        return whole(placed, load, mass, most, bounded(within, 1), bounded(across, 2))
+
+    monkeypatch.setattr(ngram_jaccard, "_spanning", spied)
+    monkeypatch.setattr(ngram_jaccard, "TILE_BLOCK", 8)
+    monkeypatch.setattr(ngram_jaccard, "GROUP_BLOCK", 8 * (ngram_jaccard.ROW_MASS + 81))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_jaccard.jaccard_components(made).collect()}
+    assert got == want and len(set(want.values())) > 10
+
+
 def test_substring_dedup(docs, rows):
     seen, want = set(), {}
     for doc_id, text, *_ in sorted(rows):
