@@ -2,13 +2,13 @@
 
 A path becomes segments; digits in a segment stand for any number, and a segment with
 more than ``MANY`` different values under its host and parent, most of them rare, is a
-wildcard. A node of a host's tree is a template prefix. The urls that a rule decides
+wildcard. A node of a host's tree is a template prefix; the tree covers whole paths. The urls that a rule decides
 are the labelled ones: a node's purity is its share of blocked labels, smoothed toward
 its parent's over all hosts, then toward the same prefix on all hosts. Branches of one
 parent whose label shares do not differ significantly from those of the whole parent
 are merged into it. A url without a rule takes the verdict of its deepest template.
 
-Only counts per template are gathered. A host with most urls is one key of grouped
+Nothing is gathered but counts per template. A host with most urls is one key of grouped
 sums that combine map-side.
 """
 
@@ -23,7 +23,6 @@ from netsleuth.llm.shared import written
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 MANY = 20
-DEPTH = 3
 SMOOTHING = 2.0
 SIGNIFICANT = 1.96
 
@@ -49,23 +48,44 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def templates(urls: DataFrame, many: int = MANY, depth: int = DEPTH) -> DataFrame:
-    """``urls`` (host, path, ...) with ``nodes``: the template prefixes of the path, shortest first."""
+def templates(urls: DataFrame, many: int = MANY) -> DataFrame:
+    """``urls`` (host, path, ...) with ``nodes``: the template prefixes of the whole path, shortest first.
+
+    A prefix with at most ``many`` paths below it can hold no further wildcard, so the rest of those paths is taken as it
+    is; the others are split level by level until none is left.
+    """
     segments = F.filter(F.split(F.regexp_replace("path", r"[0-9]+", "<n>"), "/"), lambda s: s != "")
-    out = urls.withColumn("nodes", F.array(F.lit(""))).withColumn("_s", F.slice(segments, 1, depth))
-    for level in range(depth):
-        parent, segment = F.element_at("nodes", -1), F.get("_s", F.lit(level))
-        here = out.withColumns({"_parent": parent, "_seg": segment})
-        counts = here.filter("_seg is not null").groupBy("host", "_parent", "_seg").agg(F.count(F.lit(1)).alias("_n"))
+    paths = urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("_w")).select(
+        "host", "path", "_w", F.array(F.lit("")).alias("nodes"), segments.alias("_s"))
+    rows, done = written(paths, "paths").withColumn("_open", F.size("_s") > 0), []
+    while True:
+        done.append(rows.filter(~F.col("_open")))
+        rows = rows.filter("_open")
+        if rows.isEmpty():
+            break
+        here = rows.withColumns({"_parent": F.element_at("nodes", -1), "_seg": F.element_at("_s", 1)})
+        counts = here.groupBy("host", "_parent", "_seg").agg(F.sum("_w").alias("_n"))
         wide = counts.groupBy("host", "_parent").agg(
             F.count(F.lit(1)).alias("_kinds"), F.sum("_n").alias("_all")).filter(
             (F.col("_kinds") > many) & (F.col("_all") < F.col("_kinds") * many)).select(
             F.col("host").alias("_wh"), F.col("_parent").alias("_wp"), F.lit(True).alias("_wild"))
         joined = here.join(written(wide, "wildcards"), (F.col("host") == F.col("_wh")) & (F.col("_parent") == F.col("_wp")), "left")
         name = F.concat("_parent", F.lit("/"), F.when(F.col("_wild"), "*").otherwise(F.col("_seg")))
-        out = joined.withColumn("nodes", F.when(F.col("_seg").isNotNull(), F.array_append("nodes", name)).otherwise(
-            F.col("nodes"))).select(*out.columns)
-    return out.drop("_s")
+        rest = F.slice("_s", 2, F.greatest(F.size("_s") - 1, F.lit(0)))
+        named = written(joined.select("host", "path", "_w", F.array_append("nodes", name).alias("nodes"), rest.alias("_s")), "level")
+        node = F.element_at("nodes", -1)
+        large = written(named.filter(F.size("_s") > 0).groupBy("host", node.alias("_node")).agg(F.count(F.lit(1)).alias("_n")).filter(
+            F.col("_n") > many).select(F.col("host").alias("_lh"), F.col("_node").alias("_ln"), F.lit(True).alias("_more")), "large")
+        joined = named.join(large, (F.col("host") == F.col("_lh")) & (node == F.col("_ln")), "left")
+        rows = joined.select("host", "path", "_w", "nodes", "_s", ((F.size("_s") > 0) & F.coalesce("_more", F.lit(False))).alias("_open"))
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    below = F.when(F.size("_s") > 0, F.transform(F.sequence(F.lit(1), F.size("_s")), lambda i: F.concat(
+        F.element_at("nodes", -1), F.lit("/"), F.array_join(F.slice("_s", F.lit(1), i), "/"))))
+    whole = whole.select(F.col("host").alias("_ph"), F.col("path").alias("_pp"), F.concat(
+        "nodes", F.coalesce(below, F.array().cast("array<string>"))).alias("nodes"))
+    return urls.join(whole, (F.col("host") == F.col("_ph")) & (F.col("path") == F.col("_pp"))).drop("_ph", "_pp")
 
 
 def template_purity(labelled: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
@@ -77,16 +97,15 @@ def template_purity(labelled: DataFrame, smoothing: float = SMOOTHING) -> DataFr
     own = written(each.groupBy("host", "level", "node").agg(
         F.count(F.lit(1)).alias("n"), F.sum("bad").cast("double").alias("b")), "templates")
     parent = F.when(F.col("level") > 0, F.regexp_replace("node", r"/[^/]*$", ""))
-    # prefixes over all hosts, each smoothed toward the one above it
-    wide = own.groupBy("level", "node").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).withColumn("_up", parent)
-    level = wide.filter("level = 0").select("node", ((F.col("b") + 0.5 * smoothing) / (F.col("n") + smoothing)).alias("purity"))
-    everywhere = level
-    for depth in range(1, DEPTH + 1):
-        above = level.select(F.col("node").alias("_up"), F.col("purity").alias("_p"))
-        level = wide.filter(F.col("level") == depth).join(above, "_up").select(
-            "node", ((F.col("b") + smoothing * F.col("_p")) / (F.col("n") + smoothing)).alias("purity"))
-        everywhere = everywhere.unionByName(level)
-    everywhere = written(everywhere, "purity")
+    # prefixes over all hosts, each smoothed toward the one above it, from the counts of its whole chain
+    wide = written(own.groupBy("level", "node").agg(F.sum("n").alias("n"), F.sum("b").alias("b")), "prefixes")
+    parts = F.split("node", "/")
+    chain = wide.select("node", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(
+        F.slice(parts, F.lit(1), i), "/"))).alias("_above")).join(
+        wide.select(F.col("node").alias("_above"), "level", "n", "b"), "_above").groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("level", "n", "b"))).alias("_chain"))
+    everywhere = written(chain.select("node", F.aggregate(
+        "_chain", F.lit(0.5), lambda p, x: (x["b"] + smoothing * p) / (x["n"] + smoothing)).alias("purity")), "purity")
     # a branch that does not differ from its parent is merged into it: it takes the parent's counts
     up = own.select(F.col("host").alias("_h"), F.col("node").alias("_of"), F.col("n").alias("_n"), F.col("b").alias("_b"))
     tree = own.withColumn("_up", parent).join(up, (F.col("host") == F.col("_h")) & (F.col("_up") == F.col("_of")), "left")

@@ -339,6 +339,19 @@ def test_url_templates_learn_from_labels(spark):
     assert all(got[100 + i] == ("allow" if i % 2 else "block") for i in range(10))
 
 
+def test_url_templates_cover_whole_paths(spark):
+    rules = [("block", "x.com", "/a/b/c/d/ads/"), ("allow", "x.com", "/a/b/c/d/docs/")]
+    kind = lambda i: "docs" if i % 2 else "ads"
+    urls = [(i, f"http://x.com/a/b/c/d/{kind(i)}/{i}") for i in range(60)]
+    urls += [(100 + i, f"http://y.com/a/b/c/d/{kind(i)}/p{i}/q") for i in range(60)]
+    urls += [(200, "http://z.com/" + "s/" * 300)]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()}
+    assert all(got[100 + i] == ("allow" if i % 2 else "block") for i in range(60)) and len(got) == len(urls)
+    made = spark.createDataFrame([("h", "/1/2/3/4/5/" + "abcdefghijklmnopqrstuvwxy"[i] + "/end") for i in range(25)], "host string, path string")
+    assert {tuple(r["nodes"][-2:]) for r in url_filter.templates(made).collect()} == {
+        ("/<n>/<n>/<n>/<n>/<n>/*", "/<n>/<n>/<n>/<n>/<n>/*/end")}
+
+
 def test_toxicity_and_quality(spark):
     rng = np.random.default_rng(9)
     lexicon = [f"word{i}" for i in range(300)]
