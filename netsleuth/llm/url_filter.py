@@ -1,8 +1,8 @@
 """URL filters: rules first, then a tree of path templates per host.
 
 A path becomes segments; digits in a segment stand for any number, and a segment with
-more than ``MANY`` different values under its host and parent, most of them rare, is a
-wildcard. A node of a host's tree is a template prefix; the tree covers whole paths. The urls that a rule decides
+more than ``MANY`` different values under its host and parent, with few different paths
+below each, is a wildcard. A node of a host's tree is a template prefix; the tree covers whole paths. The urls that a rule decides
 are the labelled ones: a node's purity is its share of blocked labels, smoothed toward
 its parent's over all hosts, then toward the same prefix on all hosts. Branches of one
 parent whose label shares do not differ significantly from those of the whole parent
@@ -55,8 +55,8 @@ def templates(urls: DataFrame, many: int = MANY) -> DataFrame:
     is; the others are split level by level until none is left.
     """
     segments = F.filter(F.split(F.regexp_replace("path", r"[0-9]+", "<n>"), "/"), lambda s: s != "")
-    paths = urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("_w")).select(
-        "host", "path", "_w", F.array(F.lit("")).alias("nodes"), segments.alias("_s"))
+    # each path counts once, however many rows hold it
+    paths = urls.select("host", "path").distinct().select("host", "path", F.array(F.lit("")).alias("nodes"), segments.alias("_s"))
     rows, done = written(paths, "paths").withColumn("_open", F.size("_s") > 0), []
     while True:
         done.append(rows.filter(~F.col("_open")))
@@ -64,7 +64,7 @@ def templates(urls: DataFrame, many: int = MANY) -> DataFrame:
         if rows.isEmpty():
             break
         here = rows.withColumns({"_parent": F.element_at("nodes", -1), "_seg": F.element_at("_s", 1)})
-        counts = here.groupBy("host", "_parent", "_seg").agg(F.sum("_w").alias("_n"))
+        counts = here.groupBy("host", "_parent", "_seg").agg(F.count(F.lit(1)).alias("_n"))
         wide = counts.groupBy("host", "_parent").agg(
             F.count(F.lit(1)).alias("_kinds"), F.sum("_n").alias("_all")).filter(
             (F.col("_kinds") > many) & (F.col("_all") < F.col("_kinds") * many)).select(
@@ -72,12 +72,12 @@ def templates(urls: DataFrame, many: int = MANY) -> DataFrame:
         joined = here.join(written(wide, "wildcards"), (F.col("host") == F.col("_wh")) & (F.col("_parent") == F.col("_wp")), "left")
         name = F.concat("_parent", F.lit("/"), F.when(F.col("_wild"), "*").otherwise(F.col("_seg")))
         rest = F.slice("_s", 2, F.greatest(F.size("_s") - 1, F.lit(0)))
-        named = written(joined.select("host", "path", "_w", F.array_append("nodes", name).alias("nodes"), rest.alias("_s")), "level")
+        named = written(joined.select("host", "path", F.array_append("nodes", name).alias("nodes"), rest.alias("_s")), "level")
         node = F.element_at("nodes", -1)
         large = written(named.filter(F.size("_s") > 0).groupBy("host", node.alias("_node")).agg(F.count(F.lit(1)).alias("_n")).filter(
             F.col("_n") > many).select(F.col("host").alias("_lh"), F.col("_node").alias("_ln"), F.lit(True).alias("_more")), "large")
         joined = named.join(large, (F.col("host") == F.col("_lh")) & (node == F.col("_ln")), "left")
-        rows = joined.select("host", "path", "_w", "nodes", "_s", ((F.size("_s") > 0) & F.coalesce("_more", F.lit(False))).alias("_open"))
+        rows = joined.select("host", "path", "nodes", "_s", ((F.size("_s") > 0) & F.coalesce("_more", F.lit(False))).alias("_open"))
     whole = done[0]
     for more in done[1:]:
         whole = whole.unionByName(more)

@@ -352,6 +352,13 @@ def test_url_templates_cover_whole_paths(spark):
         ("/<n>/<n>/<n>/<n>/<n>/*", "/<n>/<n>/<n>/<n>/<n>/*/end")}
 
 
+def test_url_templates_do_not_depend_on_the_number_of_rows(spark):
+    made = spark.createDataFrame([("h", "/" + "abcdefghijklmnopqrstuvwxy"[i] + "/end") for i in range(25)], "host string, path string")
+    again = made.crossJoin(spark.range(30)).select("host", "path")
+    nodes = lambda df: {(r["path"], tuple(r["nodes"])) for r in url_filter.templates(df).collect()}
+    assert nodes(again) == nodes(made) == {(r["path"], ("", "/*", "/*/end")) for r in made.collect()}
+
+
 def test_toxicity_and_quality(spark):
     rng = np.random.default_rng(9)
     lexicon = [f"word{i}" for i in range(300)]
