@@ -32,15 +32,14 @@ def _(spark, d):
     from netsleuth.session import durable
 
     data = durable(vectors(spark, d))
-    model = training.train_detector(data, "flow_id", maxIter=5, maxDepth=4)
+    model = training.train_detector(data, "flow_id")
     scored = training.model_probability(model.transform(data), "p")
     return scored.select("flow_id", F.round("p", 6).alias("probability"))
 
 
 @register("search_params")
 def _(spark, d):
-    space = {"maxIter": ("int", 3, 5), "maxDepth": ("int", 2, 4), "stepSize": ("log", 0.02, 0.3)}
-    return training.search_params(vectors(spark, d), "flow_id", trials=2, space=space)[1]
+    return training.search_params(vectors(spark, d), "flow_id")[1]
 
 
 @register("swap_importance")
@@ -48,7 +47,7 @@ def _(spark, d):
     from netsleuth.session import durable
 
     data = durable(vectors(spark, d))
-    model = training.train_detector(data, "flow_id", maxIter=5, maxDepth=4)
+    model = training.train_detector(data, "flow_id")
     return training.swap_importance(model, data, "flow_id")
 
 

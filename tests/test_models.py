@@ -71,3 +71,22 @@ def test_linear_importance_centres_features(spark):
     rows = training.linear_importance(df, {"IN_PKTS": 2.0, "OUT_PKTS": 9.0}).collect()
     assert [(r["feature"], r["mean_abs"]) for r in rows] == [("IN_PKTS", 2.0), ("OUT_PKTS", 0.0)]
     assert len(MODEL_FEATURES) == 49
+
+
+def test_model_queries_run_the_operators_defaults(spark, monkeypatch):
+    from netsleuth.plans import model_queries
+
+    asked = []
+
+    def seen(name):
+        def call(*args, **params):
+            asked.append((name, params))
+            raise StopIteration
+        return call
+
+    for name in ("train_detector", "search_params"):
+        monkeypatch.setattr(training, name, seen(name))
+    for query in ("train_detector", "search_params", "swap_importance"):
+        with pytest.raises(StopIteration):
+            model_queries.FAMILY.queries[query](spark, "/root/testdata/sf0.001")
+    assert asked == [("train_detector", {}), ("search_params", {}), ("train_detector", {})]
