@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from netsleuth.llm import (
-    contamination, embedding_dedup, language_model, ngram_jaccard, packing, quality, shared, substring_dedup, toxicity,
-    url_filter, wavelet)
+    contamination, embedding_dedup, language_model, main_text, ngram_jaccard, packing, periodic_runs, quality, shared,
+    substring_dedup, token_alignment, toxicity, url_filter, wavelet)
 from netsleuth.plans.registry import Family
 from netsleuth.sources.tables import table
 
@@ -140,3 +140,20 @@ def op9_wavelet(spark, folder):
 @FAMILY.register("op10_url_filter")
 def op10_url_filter(spark, folder):
     return url_filter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@FAMILY.register("op11_main_text")
+def op11_main_text(spark, folder):
+    return main_text.extract(table(spark, folder, "pages"))
+
+
+@FAMILY.register("op12_periodic_runs")
+def op12_periodic_runs(spark, folder):
+    planted = periodic_runs.plant_runs(table(spark, folder, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(planted))
+
+
+@FAMILY.register("op13_token_alignment")
+def op13_token_alignment(spark, folder):
+    return token_alignment.alignment(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
