@@ -24,13 +24,13 @@ def _best_of_block():
     Shipped to the tasks by value; a block of identical vectors still yields k rows.
     """
 
-    def best(q_ids, q_matrix, v_ids, v_matrix, k, allowed=None):
+    def best(q_ids, q_matrix, v_ids, v_matrix, k):
         import numpy as np
 
         scores = np.round(v_matrix.astype("float64") @ q_matrix.T, 6)
         for j, q_id in enumerate(q_ids):
             column = scores[:, j]
-            rows = np.arange(len(column)) if allowed is None else np.flatnonzero(allowed[:, j])
+            rows = np.arange(len(column))
             if len(rows) > k:
                 bar = np.partition(column[rows], len(rows) - k)[len(rows) - k]
                 rows = rows[column[rows] >= bar]
@@ -47,14 +47,13 @@ def _rank_hits(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 12, probe: tuple[int, int] | None = None) -> DataFrame:
+def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 12) -> DataFrame:
     """The k nearest vectors of each query by cosine: (q_id, id, score, rank).
 
     ``queries`` is (q_id, vector), ``vectors`` (id, vector) of unit length. Up to
     4,096 queries go to the tasks as one matrix and the vectors are scanned where
     they lie; each block keeps k rows per query. More queries meet the vectors block
-    by block instead. ``probe`` = (bits, radius) scores only vectors whose random
-    hyperplane signature differs from the query's in at most ``radius`` bits.
+    by block instead. ``signature_index`` is the search that leaves most vectors unscored.
     """
     spark = vectors.sparkSession
     best = _best_of_block()
@@ -68,19 +67,6 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 12, probe: tupl
         norms = np.linalg.norm(matrix, axis=1, keepdims=True)
         return matrix / np.where(norms == 0, 1.0, norms)
 
-    def planes(bits, dim):
-        import numpy as np
-
-        return np.random.default_rng(7).standard_normal((bits, dim))
-
-    def allowed(q_matrix, v_matrix):
-        if probe is None:
-            return None
-        bits, radius = probe
-        p = planes(bits, q_matrix.shape[1])
-        differs = (v_matrix @ p.T > 0)[:, None, :] != (q_matrix @ p.T > 0)[None, :, :]
-        return differs.sum(axis=2) <= radius
-
     # at most one row above the bound reaches the driver
     head = queries.select("q_id", "vector").limit(MAX_QUERIES + 1).collect()
     if len(head) <= MAX_QUERIES:
@@ -104,7 +90,7 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 12, probe: tupl
                 flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
                 v_matrix = flat.reshape(batch.num_rows, -1)
                 v_ids = batch.column("id").to_numpy(zero_copy_only=False)
-                found = list(best(q_ids, q_matrix, v_ids, v_matrix, k, allowed(q_matrix, v_matrix)))
+                found = list(best(q_ids, q_matrix, v_ids, v_matrix, k))
                 if found:
                     q, v, s = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -130,14 +116,8 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 12, probe: tupl
             return pd.DataFrame({"q_id": [], "id": [], "score": []})
         q_matrix = unit(np.array(q_pdf["vector"].tolist(), dtype="float64"))
         v_matrix = np.array(v_pdf["vector"].tolist())
-        found = best(q_pdf["q_id"].to_numpy(), q_matrix, v_pdf["id"].to_numpy(), v_matrix, k, allowed(q_matrix, v_matrix))
+        found = best(q_pdf["q_id"].to_numpy(), q_matrix, v_pdf["id"].to_numpy(), v_matrix, k)
         return pd.DataFrame(found, columns=["q_id", "id", "score"])
 
     hits = asked.groupBy("qb", "vb").cogroup(held.groupBy("qb", "vb")).applyInPandas(meet, out)
     return _rank_hits(hits, k)
-
-
-def recall_against(approximate: DataFrame, exact: DataFrame) -> DataFrame:
-    """Share of the exact hits the approximate search also returned."""
-    found = exact.join(approximate.select("q_id", "id").withColumn("_hit", F.lit(1)), ["q_id", "id"], "left")
-    return found.agg(F.count(F.lit(1)).alias("hits"), F.round(F.count("_hit") / F.count(F.lit(1)), 4).alias("recall"))

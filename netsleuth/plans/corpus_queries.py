@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import technique_ids
 from netsleuth.functions.schema import BUNDLE_OBJECT, CVE_SCHEMA
-from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs
+from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index
 from netsleuth.plans.graph_queries import CENTROIDS_SQL
 from netsleuth.plans.registry import Family
+from netsleuth.session import durable
 from netsleuth.sources.tables import table
 
 FAMILY = Family()
@@ -185,11 +186,23 @@ VECTOR_SQL = (
     "near as (select *, (row_number() over (partition by q_id order by score desc, id))::integer as rank from sims qualify rank <= 12)")
 
 
-def nearest(spark, d, probe=None):
+def asked_and_held(spark, d):
+    """The centroid of each label as a query, and all vectors."""
     vecs = table(spark, d, "embeddings")
     asked = embeddings.centroids(vecs, "label", "embedding").select(F.col("label").alias("q_id"), F.col("centroid").alias("vector"))
-    held = vecs.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return embeddings.vector_topk(asked, held, probe=probe)
+    return asked, vecs.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+
+
+def nearest(spark, d):
+    return embeddings.vector_topk(*asked_and_held(spark, d))
+
+
+def indexed(spark, d):
+    """Recall and scored pairs of the signature index against the exact search."""
+    asked, held = asked_and_held(spark, d)
+    asked = durable(asked)
+    hits, found = signature_index.index_topk(asked, held)
+    return signature_index.search_report(hits, embeddings.vector_topk(asked, held), found, asked, held)
 
 
 def label_items(spark, d):
@@ -197,9 +210,15 @@ def label_items(spark, d):
 
 
 register("vector_topk", f"with {VECTOR_SQL} select q_id, id, score, rank from near")(nearest)
-# an approximate search: checked by its recall against the exact one
-register("vector_topk_probe")(
-    lambda spark, d: embeddings.recall_against(nearest(spark, d, probe=(6, 2)), nearest(spark, d)))
+# an approximate search: how much it finds and scores, and whether that is enough
+register("vector_topk_probe")(lambda spark, d: indexed(spark, d).select("hits", "recall"))
+
+
+@register("vector_index", f"with {VECTOR_SQL} select count(*) as hits, true as finds_nine_tenths, true as scores_under_a_fifth from near")
+def _(spark, d):
+    return indexed(spark, d).select("hits", (F.col("recall") >= 0.9).alias("finds_nine_tenths"),
+                                    (F.col("scored_share") < 0.2).alias("scores_under_a_fifth"))
+
 
 _PRECISION = ("(select {h}.q_id, rank, (r.q_id is not null)::integer as rel, sum((r.q_id is not null)::integer) over "
               "(partition by {h}.q_id order by rank) as upto from {h} left join {r} r on r.q_id = {h}.q_id and r.item = {h}.item)")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import cve_ids, technique_ids
 from netsleuth.functions.schema import BUNDLE_OBJECT, CVE_SCHEMA
-from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs
+from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index
 
 
 def test_parse_keeps_active_techniques_with_an_id(spark):
@@ -130,9 +130,46 @@ def test_vector_topk_both_ways(spark, bound, monkeypatch):
     for i, x in enumerate(q):
         order = sorted(range(200), key=lambda j: (-round(float(v[j] @ x), 6), j))[:12]
         assert [got[i][k] for k in range(1, 13)] == order
-    if bound == 4096:
-        recall = embeddings.recall_against(embeddings.vector_topk(asked, held, 12, probe=(4, 2)), embeddings.vector_topk(asked, held, 12))
-        assert recall.first()["recall"] > 0.7
+
+
+def test_signature_index_against_the_exact_search(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(600, 16))
+    v[200:400] = v[200]  # a third are copies: one hot bucket in every table
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    held = spark.createDataFrame([(i, x.tolist(), "c") for i, x in enumerate(v)] + [(900, None, "c")], "id long, vector array<double>, votes string")
+    asked = spark.createDataFrame([(i, (3 * v[i]).tolist()) for i in (0, 5, 200, 599)], "q_id int, vector array<double>")
+    shape = signature_index.Signature(tables=20, bits=8, probes=16, votes=3)
+    planes = shape.planes(16)
+    assert np.allclose(np.einsum("tbd,tcd->tbc", planes, planes), np.eye(8)[None])
+    products = np.einsum("nd,tbd->ntb", v, planes)
+    votes = {}
+    for q in (0, 5, 200, 599):
+        for t in range(20):
+            masks = sorted(range(256), key=lambda m: (sum(products[q, t, b] ** 2 for b in range(8) if m >> b & 1), m))[:16]
+            own = sum(int(products[q, t, b] > 0) << b for b in range(8))
+            for i in range(600):
+                votes[q, i] = votes.get((q, i), 0) + (sum(int(products[i, t, b] > 0) << b for b in range(8)) ^ own in masks)
+    hits, found = signature_index.index_topk(asked, held, 12, shape)
+    want = {k: n for k, n in votes.items() if n >= 3}
+    assert {(r["q_id"], r["id"]): r["votes"] for r in found.collect()} == want
+    got = {}
+    for r in hits.collect():
+        got.setdefault(r["q_id"], {})[r["rank"]] = (r["id"], r["score"])
+    for q in (0, 5, 200, 599):
+        order = sorted((i for k, i in want if k == q), key=lambda j: (-round(float(v[j] @ v[q]), 6), j))[:12]
+        assert [got[q][k][0] for k in range(1, len(order) + 1)] == order
+        assert got[q][1][1] == pytest.approx(1.0)
+    report = signature_index.search_report(hits, embeddings.vector_topk(asked, held.filter("vector is not null").select("id", "vector"), 12), found, asked, held).first()
+    assert report["hits"] == 48 and report["recall"] > 0.9 and report["scored"] == len(want)
+    assert report["scored_share"] == round(len(want) / (4 * 601), 4)
+
+
+def test_signature_index_without_rows(spark):
+    none = spark.createDataFrame([], "id long, vector array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "q_id int, vector array<double>")
+    hits, found = signature_index.index_topk(asked, none, 3, signature_index.Signature(tables=2, bits=2, probes=2, votes=1))
+    assert hits.count() == 0 and found.count() == 0
 
 
 def test_passages_containing(spark):
