@@ -14,6 +14,13 @@ RERANK_N = 4
 K1, B = 1.2, 0.75
 SMALL_QUERY_TERMS = 200_000
 QUERY_SALTS = 32
+#: Texts that set the bar of a search, as a multiple of the hits wanted.
+SEED_TEXTS = 4
+#: Terms that together reach this share of the bar are left out of the first gathering. More of them gather
+#: less and leave more texts to score in full.
+REST_SHARE = 0.1
+#: Scores are rounded to 6 places and summed in any order: what is this close to the bar counts as reaching it.
+BAR_SLACK = 2e-6
 
 
 def build_postings(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -44,12 +51,22 @@ def tfidf_weights(postings: DataFrame) -> DataFrame:
     The commonest terms occur in most texts, so their frequencies are looked up by
     broadcast and the rest by shuffle. A norm needs only the terms of one text.
     """
+    return banded_weights(postings).drop("band")
+
+
+def banded_weights(postings: DataFrame) -> DataFrame:
+    """The weights of :func:`tfidf_weights` with the ``band`` of their text: its norm in half octaves.
+
+    Texts of a band are about equally long, so a term's largest weight in the band is
+    close to its usual one there.
+    """
     with_df = spread_lookup(postings, document_frequency(postings), "term", ["df"])
     n = _text_stats(postings).scalar()["n"]
     tf = F.col("tf").cast("double")
     raw = with_df.withColumn("_w", tf * F.log((n + 1.0) / (F.col("df") + 1.0)) + tf)
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("id")))
-    return raw.select("id", "term", (F.col("_w") / norm).alias("weight"))
+    return raw.withColumn("_n", norm).select(
+        "id", "term", (F.col("_w") / F.col("_n")).alias("weight"), F.floor(2 * F.log2("_n")).cast("int").alias("band"))
 
 
 def query_weights(questions: DataFrame, key: str, text: str, postings: DataFrame) -> DataFrame:
@@ -64,23 +81,99 @@ def query_weights(questions: DataFrame, key: str, text: str, postings: DataFrame
     return raw.select("q_id", "term", (F.col("_w") / norm).alias("weight"))
 
 
-def sparse_topk(queries: DataFrame, weights: DataFrame, k: int = TOP_K) -> DataFrame:
-    """The k best texts per query by cosine: (q_id, id, score, stage1_rank).
+def _matched(weights: DataFrame, asked: DataFrame, on: list[str]) -> DataFrame:
+    """Weights that a query asks for, with the columns of ``asked``.
 
     A checked-small set of query terms is broadcast: the weights stay partitioned by
-    text, so scores add up without a shuffle and each task passes on k rows per
-    query. A larger set is joined on (term, salt), the salt splitting common terms.
+    text. A larger set is joined on (term, salt), the salt splitting common terms.
     """
-    asked = durable(queries.select("q_id", "term", F.col("weight").alias("_wq")))
     if asked.count() <= SMALL_QUERY_TERMS:
-        matched = weights.join(F.broadcast(asked), "term")
-    else:
-        salted = weights.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(QUERY_SALTS)).cast("int"))
-        copies = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(QUERY_SALTS - 1))))
-        matched = salted.join(copies, ["term", "_salt"])
-    scored = matched.groupBy("q_id", "id").agg(F.round(F.sum(F.col("weight") * F.col("_wq")), 6).alias("score"))
-    order = Window.partitionBy("q_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("stage1_rank", F.row_number().over(order)).filter(F.col("stage1_rank") <= k)
+        return weights.join(F.broadcast(asked), on)
+    salted = weights.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(QUERY_SALTS)).cast("int"))
+    copies = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(QUERY_SALTS - 1))))
+    return salted.join(copies, [*on, "_salt"]).drop("_salt")
+
+
+def _best(scored: DataFrame, k: int, out: str) -> DataFrame:
+    """The k best rows of each query by score, then id; parts of a query are cut to k rows first."""
+    order = [F.desc("score"), F.col("id")]
+    part = F.pmod(F.xxhash64("id"), F.lit(QUERY_SALTS))
+    short = scored.withColumn("_part", part).withColumn(
+        "_r", F.row_number().over(Window.partitionBy("q_id", "_part").orderBy(*order))).filter(F.col("_r") <= k).drop("_part", "_r")
+    return short.withColumn(out, F.row_number().over(Window.partitionBy("q_id").orderBy(*order))).filter(F.col(out) <= k)
+
+
+def _complete(pairs: DataFrame, weights: DataFrame, asked: DataFrame) -> DataFrame:
+    """Full scores (q_id, id, score), not rounded, of (q_id, id) pairs."""
+    held = weights.join(pairs.select("q_id", "id"), "id")
+    return held.join(asked.select("q_id", "term", "wq"), ["q_id", "term"]).groupBy("q_id", "id").agg(
+        F.sum(F.col("weight") * F.col("wq")).alias("score"))
+
+
+def term_reach(asked: DataFrame, weights: DataFrame) -> DataFrame:
+    """Query terms in each band that has them: (q_id, term, band, wq, df, reach).
+
+    ``reach`` is the most the term adds to the score of a text of the band, ``df`` the
+    texts of the band that have it. There are a few dozen bands however many texts.
+    """
+    tops = weights.groupBy("term", "band").agg(F.max("weight").alias("_top"), F.count(F.lit(1)).alias("df"))
+    return asked.join(tops, "term").select("q_id", "term", "band", "wq", "df", (F.col("wq") * F.col("_top")).alias("reach"))
+
+
+def sparse_search(queries: DataFrame, weights: DataFrame, k: int = TOP_K) -> tuple[DataFrame, DataFrame]:
+    """The k best texts per query by cosine (q_id, id, score, stage1_rank), and the pairs (q_id, id) scored for it.
+
+    Exact, with bounds in place of scoring every pair that shares a word; ``weights``
+    are banded. The rarest terms of a query give it a few texts whose full scores set a
+    bar, the k-th best of them. In each band its terms of least reach, as long as all of
+    them together stay below ``REST_SHARE`` of the bar, cannot lift a text over it: only
+    texts with one of the other terms are gathered, and of these only those whose score
+    so far plus that remaining reach gets to the bar are scored in full.
+    """
+    weights = durable_partitions(weights)
+    asked = durable(queries.select("q_id", "term", F.col("weight").alias("wq")))
+    reach = durable(term_reach(asked, weights))
+    # the rarest terms until they promise enough texts
+    frequency = reach.groupBy("q_id", "term").agg(F.sum("df").alias("df"), F.first("wq").alias("wq"))
+    rare = Window.partitionBy("q_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    first = frequency.withColumn("_before", F.coalesce(F.sum("df").over(rare), F.lit(0))).filter(
+        F.col("_before") < SEED_TEXTS * k).select("q_id", "term", "wq")
+    seeds = _matched(weights, first, ["term"]).groupBy("q_id", "id").agg(F.sum(F.col("weight") * F.col("wq")).alias("score"))
+    seeds = durable(_best(seeds, SEED_TEXTS * k, "_rank").select("q_id", "id"))
+    # a query with fewer than k seeds has no bar
+    bars = _best(_complete(seeds, weights, asked), k, "_rank").groupBy("q_id").agg(
+        F.min("score").alias("_low"), F.count(F.lit(1)).alias("_n")).select(
+        "q_id", F.when(F.col("_n") >= k, F.col("_low") - BAR_SLACK).otherwise(F.lit(0.0)).alias("bar"))
+    inside = Window.partitionBy("q_id", "band")
+    split = reach.join(bars, "q_id").withColumn(
+        "_sum", F.sum("reach").over(inside.orderBy("reach", "term").rowsBetween(Window.unboundedPreceding, 0)))
+    rest = F.max(F.when(F.col("_sum") < REST_SHARE * F.col("bar"), F.col("_sum")).otherwise(0.0)).over(inside)
+    needed = durable(split.withColumn("rest", rest).filter(F.col("_sum") >= REST_SHARE * F.col("bar")).select(
+        "q_id", "term", "band", "wq", "bar", "rest"))
+    gathered = _matched(weights, needed, ["term", "band"]).groupBy("q_id", "id").agg(
+        F.sum(F.col("weight") * F.col("wq")).alias("_s"), F.first("bar").alias("bar"), F.first("rest").alias("rest"))
+    reached = durable(gathered.filter(F.col("_s") + F.col("rest") >= F.col("bar")).select("q_id", "id"))
+    scored = _complete(reached, weights, asked).withColumn("score", F.round("score", 6))
+    return _best(scored, k, "stage1_rank"), reached
+
+
+def sparse_topk(queries: DataFrame, weights: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The k best texts per query by cosine: (q_id, id, score, stage1_rank); ``weights`` are banded.
+
+    Query terms that fit a broadcast are scored where the weights lie, in one pass that
+    shuffles k rows per query and task. More of them are searched by bounds.
+    """
+    asked = durable(queries.select("q_id", "term", F.col("weight").alias("wq")))
+    if asked.count() > SMALL_QUERY_TERMS:
+        return sparse_search(queries, weights, k)[0]
+    scored = weights.join(F.broadcast(asked), "term").groupBy("q_id", "id").agg(
+        F.round(F.sum(F.col("weight") * F.col("wq")), 6).alias("score"))
+    return _best(scored, k, "stage1_rank")
+
+
+def sharing_pairs(queries: DataFrame, weights: DataFrame) -> DataFrame:
+    """One row: how many (query, text) pairs share a term, which is what a search without bounds scores."""
+    return _matched(weights, queries.select("q_id", "term"), ["term"]).select("q_id", "id").distinct().agg(F.count(F.lit(1)).alias("pairs"))
 
 
 def bm25_scores(candidates: DataFrame, questions: DataFrame, key: str, text: str, postings: DataFrame) -> DataFrame:
@@ -105,7 +198,7 @@ def rerank(scored: DataFrame, score: str = "rerank_score", n: int = RERANK_N) ->
 
 def retrieve(questions: DataFrame, key: str, text: str, postings: DataFrame, k: int = TOP_K, n: int = RERANK_N) -> DataFrame:
     """Recall k texts per question, rerank them, keep n: (q_id, id, rank, rerank_score, ...)."""
-    weights = tfidf_weights(postings)
+    weights = banded_weights(postings)
     candidates = durable(sparse_topk(query_weights(questions, key, text, postings), weights, k))
     return rerank(bm25_scores(candidates, questions, key, text, postings), n=n)
 

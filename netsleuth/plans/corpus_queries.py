@@ -9,7 +9,7 @@ from netsleuth.functions.schema import BUNDLE_OBJECT, CVE_SCHEMA
 from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index
 from netsleuth.plans.graph_queries import CENTROIDS_SQL
 from netsleuth.plans.registry import Family
-from netsleuth.session import durable
+from netsleuth.session import durable, durable_partitions
 from netsleuth.sources.tables import table
 
 FAMILY = Family()
@@ -158,7 +158,26 @@ register("tfidf_weights", f"with {postings_sql('documents', 'doc_id', 'text', 'p
 def _(spark, d):
     postings = chunk_postings(spark, d)
     asked = retrieval.query_weights(questions(spark, d), "item_id", "text", postings)
-    return retrieval.sparse_topk(asked, retrieval.tfidf_weights(postings))
+    return retrieval.sparse_topk(asked, retrieval.banded_weights(postings))
+
+
+def bounded_search(spark, d):
+    """Hits and fully scored pairs of the search by bounds, with the questions and weights it ran on."""
+    postings = chunk_postings(spark, d)
+    asked = durable(retrieval.query_weights(questions(spark, d), "item_id", "text", postings))
+    weights = durable_partitions(retrieval.banded_weights(postings))
+    return *retrieval.sparse_search(asked, weights), asked, weights
+
+
+register("sparse_bounded", f"with {INDEX_SQL}, {query_sql('p')}, {stage1_sql('p')} select * from cand")(
+    lambda spark, d: bounded_search(spark, d)[0])
+
+
+@register("sparse_pruning", f"with {INDEX_SQL}, {query_sql('p')}, {stage1_sql('p')} select count(*) as pairs, true as scored_under_a_tenth from s1")
+def _(spark, d):
+    _, reached, asked, weights = bounded_search(spark, d)
+    scored = reached.agg(F.count(F.lit(1))).scalar()
+    return retrieval.sharing_pairs(asked, weights).select("pairs", (scored < 0.1 * F.col("pairs")).alias("scored_under_a_tenth"))
 
 
 register("rerank_bm25", f"with {RETRIEVE_SQL} select q_id, id, stage1_rank, rerank_score, rank from hits")(

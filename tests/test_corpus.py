@@ -84,7 +84,7 @@ def test_retrieval_against_brute_force(spark):
     queries = retrieval.query_weights(asked, "q", "text", postings)
     for bound in (retrieval.SMALL_QUERY_TERMS, 0):
         retrieval.SMALL_QUERY_TERMS, saved = bound, retrieval.SMALL_QUERY_TERMS
-        hits = retrieval.sparse_topk(queries, retrieval.tfidf_weights(postings), 3).orderBy("q_id", "stage1_rank").collect()
+        hits = retrieval.sparse_topk(queries, retrieval.banded_weights(postings), 3).orderBy("q_id", "stage1_rank").collect()
         retrieval.SMALL_QUERY_TERMS = saved
         got = {}
         for r in hits:
@@ -94,6 +94,26 @@ def test_retrieval_against_brute_force(spark):
     assert {r["q_id"]: r["id"] for r in best.collect()} == {1: "d5", 2: "d1"}
 
 
+def test_search_by_bounds_is_exact_and_scores_less(spark):
+    rng = np.random.default_rng(6)
+    lexicon = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    odds = 1 / np.arange(1, 101)
+    texts = [" ".join(rng.choice(lexicon, int(rng.integers(1, 60)), p=odds / odds.sum())) for _ in range(400)]
+    texts += ["ak ak ak ak"] * 30  # ties, and a text of one common term
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "id string, text string")
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:12] + ["ak", "zz", "ak zz jt"])], "q int, text string")
+    postings = retrieval.build_postings(docs, "id", "text")
+    queries = retrieval.query_weights(asked, "q", "text", postings)
+    weights = retrieval.banded_weights(postings)
+    hits, reached = retrieval.sparse_search(queries, weights, 5)
+    plain = retrieval.sparse_topk(queries, weights, 5)
+    rows = lambda df: sorted((r["q_id"], r["stage1_rank"], r["id"], r["score"]) for r in df.collect())
+    assert rows(hits) == rows(plain) and len(rows(hits)) > 60
+    pairs = retrieval.sharing_pairs(queries, weights).first()["pairs"]
+    assert len(rows(hits)) <= reached.count() < 0.6 * pairs
+    assert reached.distinct().count() == reached.count()
+
+
 def test_rerank_keeps_stage_one_order_on_ties(spark):
     rows = [(1, "a", 1, 0.5), (1, "b", 2, 0.9), (1, "c", 3, 0.5)]
     got = retrieval.rerank(spark.createDataFrame(rows, "q_id int, id string, stage1_rank int, rerank_score double"), n=2)
