@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import technique_ids
 from netsleuth.functions.schema import BUNDLE_OBJECT, CVE_SCHEMA
-from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index
+from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index, text_embedding
 from netsleuth.plans.graph_queries import CENTROIDS_SQL
 from netsleuth.plans.registry import Family
 from netsleuth.session import durable, durable_partitions
@@ -284,6 +285,50 @@ register("context_precision", _TEXT_JUDGED + precision_sql("h", "rel"))(
 register("context_recall", _TEXT_JUDGED + recall_sql("h", "rel"))(
     lambda spark, d: retrieval_eval.context_recall(document_hits(spark, d), relevant(spark, d)))
 
+# --- dense vectors of texts ------------------------------------------------
+
+
+def embedded(spark, d):
+    """The documents' postings and their dense vectors."""
+    postings = retrieval.build_postings(table(spark, d, "documents"), "doc_id", "text")
+    return postings, text_embedding.embed_text(retrieval.tfidf_weights(postings))
+
+
+@register("text_embeddings", f"with {postings_sql('documents', 'doc_id', 'text', 'p')}, {weights_sql('p')}, "
+          "mass as (select term, sum(weight * weight) as m from p_wt group by 1), "
+          "top as (select sum(m) as m from (select m from mass order by m desc limit 32)) "
+          "select (select count(distinct id) from p_wt) as texts, round((select m from top) / (select sum(m) from mass), 4) "
+          "as best_terms_share, true as unit_length, true as orthonormal, true as keeps_more_than_best_terms")
+def _(spark, d):
+    made = embedded(spark, d)[1]
+    mass = made.weights.groupBy("term").agg(F.sum(F.col("weight") * F.col("weight")).alias("m"))
+    top = mass.orderBy(F.desc("m")).limit(made.dim).agg(F.sum("m")).scalar() / mass.agg(F.sum("m")).scalar()
+    names = [c for c in made.basis.columns if c != "id"]
+    off = float(abs(text_embedding.gram(made.basis, names) - np.eye(len(names))).max())
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    return made.texts.agg(F.count(F.lit(1)).alias("texts"), F.max(F.abs(length - 1.0)).alias("_off")).select(
+        "texts", F.round(top, 4).alias("best_terms_share"), (F.col("_off") < 1e-9).alias("unit_length"),
+        F.lit(off < 1e-8).alias("orthonormal"), (F.lit(made.captured) > top).alias("keeps_more_than_best_terms"))
+
+
+def dense_hits(spark, d):
+    """Dense first stage, word-based second: the 12 nearest documents of each question, reranked to 4."""
+    postings, made = embedded(spark, d)
+    asked = text_embedding.embed_queries(retrieval.query_weights(questions(spark, d), "item_id", "text", postings), made)
+    near = durable(embeddings.vector_topk(asked, made.texts).withColumnRenamed("rank", "stage1_rank"))
+    return near, retrieval.rerank(retrieval.bm25_scores(near, questions(spark, d), "item_id", "text", postings))
+
+
+@register("dense_retrieve", f"with {postings_sql('documents', 'doc_id', 'text', 'p')}, {query_sql('p')} select count(distinct q_id) as questions, "
+          "4 * count(distinct q_id) as hits, true as finds_more_than_chance from qw join p_df using (term)")
+def _(spark, d):
+    near, best = dense_hits(spark, d)
+    found = retrieval_eval.context_recall(near.withColumnRenamed("id", "item"), relevant(spark, d))
+    chance = F.lit(retrieval.TOP_K) / table(spark, d, "documents").agg(F.count(F.lit(1))).scalar()
+    return best.agg(F.count_distinct("q_id").alias("questions"), F.count(F.lit(1)).alias("hits")).select(
+        "questions", "hits", (found.agg(F.avg("context_recall")).scalar() > 2 * chance).alias("finds_more_than_chance"))
+
+
 # --- answers ---------------------------------------------------------------
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from netsleuth.functions.schema import LABEL, NUMERIC_FEATURES
-from netsleuth.operators import cleaning, drift, registry, training
+from netsleuth.functions.schema import LABEL, MODEL_FEATURES, NUMERIC_FEATURES
+from netsleuth.operators import boosting, cleaning, drift, registry, training
 from netsleuth.plans import flow_queries as fq
 from netsleuth.plans import jobs
 from netsleuth.plans.registry import Family
@@ -37,9 +39,48 @@ def _(spark, d):
     return scored.select("flow_id", F.round("p", 6).alias("probability"))
 
 
-@register("search_params")
+def _drawn_sql():
+    """The trials a search draws, which are fixed by its seed."""
+    names = list(training.SEARCH_SPACE)
+    rows = ", ".join("(" + ", ".join([str(i), *[f"{float(p[n])!r}::double" for n in names]]) + ")"
+                     for i, p in enumerate(training.draw_params(25, 42)))
+    return f"select *, true as scored, true as best_is_highest from (values {rows}) as t(trial, {', '.join(names)})"
+
+
+@register("search_params", _drawn_sql())
 def _(spark, d):
-    return training.search_params(vectors(spark, d), "flow_id")[1]
+    report = training.search_params(vectors(spark, d), "flow_id")[1]
+    last = report.filter(F.col("rung") == report.agg(F.max("rung")).scalar())
+    top, best = last.agg(F.max("cv_roc_auc")).scalar(), last.filter("best").agg(F.max("cv_roc_auc")).scalar()
+    return report.select("trial", *training.SEARCH_SPACE, F.col("cv_roc_auc").between(0, 1).alias("scored"),
+                         (top == best).alias("best_is_highest"))
+
+
+def explained(spark, d):
+    """An ensemble of a dozen trees, the rows it was fitted on and the contributions of every row."""
+    from netsleuth.session import durable
+
+    data = durable(vectors(spark, d).withColumn("x", vector_to_array("features")))
+    model = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=12, maxDepth=5, seed=42).fit(data)
+    return model, data, boosting.contributions(model, data, ["flow_id"], len(MODEL_FEATURES))
+
+
+FLOW_COUNT_SQL = f"with {fq.FLOWS_SQL} select count(*) as flows"
+
+
+# the contributions of every row add up to what the model itself says, and so do those of a ranking
+@register("tree_contributions", f"{FLOW_COUNT_SQL}, true as additive, true as several_trees, true as ranked from flows")
+def _(spark, d):
+    model, data, parts = explained(spark, d)
+    said = model.transform(data).select("flow_id", vector_to_array("rawPrediction")[1].alias("_raw"))
+    off = parts.join(said, "flow_id").agg(F.count(F.lit(1)).alias("flows"), F.max(F.abs(F.col("raw") - F.col("_raw"))).alias("_off"))
+    ranking = boosting.contribution_ranking(parts, MODEL_FEATURES)
+    return off.select("flows", (F.col("_off") < 1e-9).alias("additive"), F.lit(model.getNumTrees > 1).alias("several_trees"),
+                      (ranking.agg(F.count_if(F.col("mean_abs") > 0)).scalar() > 1).alias("ranked"))
+
+
+register("tree_importance")(lambda spark, d: boosting.contribution_ranking(
+    explained(spark, d)[2], MODEL_FEATURES))
 
 
 @register("swap_importance")

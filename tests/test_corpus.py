@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import cve_ids, technique_ids
 from netsleuth.functions.schema import BUNDLE_OBJECT, CVE_SCHEMA
-from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index
+from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index, text_embedding
 
 
 def test_parse_keeps_active_techniques_with_an_id(spark):
@@ -258,3 +258,35 @@ def test_recursive_chunks_without_an_empty_separator(spark):
     df = spark.createDataFrame([(body,)], "text string")
     got = [r["chunk_text"] for r in corpus.chunk_recursive(df, size=6, overlap=0, separators=["\n", " "]).orderBy("chunk_no").collect()]
     assert max(map(len, got)) <= 6 and "".join("".join(got).split()) == "".join(body.split())
+
+
+def test_text_embedding_is_near_the_best_subspace(spark):
+    rng = np.random.default_rng(2)
+    topics = [[f"t{a}{chr(98 + b)}" for b in range(20)] for a in "xyz"]
+    names = [f"d{i}" for i in range(90)]
+    rows = [(d, t, float(w)) for i, d in enumerate(names) for t, w in zip(rng.choice(topics[i % 3], 12, replace=False), rng.random(12))]
+    length = {d: np.sqrt(sum(w * w for e, _, w in rows if e == d)) for d in names}
+    rows = [(str(d), str(t), float(w / length[d])) for d, t, w in rows]
+    weights = spark.createDataFrame(rows, "id string, term string, weight double")
+    terms = sorted({t for _, t, _ in rows})
+    x = np.zeros((90, len(terms)))
+    for d, t, w in rows:
+        x[int(d[1:]), terms.index(t)] = w
+    made = text_embedding.embed_text(weights, dim=8, power=2)
+    best = np.linalg.svd(x, compute_uv=False) ** 2
+    assert 0.95 * best[:8].sum() / best.sum() < made.captured <= best[:8].sum() / best.sum() + 1e-9
+    basis = np.array([[r[f"y{j}"] for j in range(8)] for r in made.basis.orderBy("id").collect()])
+    assert np.allclose(basis.T @ basis, np.eye(8), atol=1e-9)
+    held = {r["id"]: np.array(r["vector"]) for r in made.texts.collect()}
+    assert all(abs(np.linalg.norm(v) - 1) < 1e-9 for v in held.values())
+    same = np.mean([held[a] @ held[b] for a in names[:30] for b in names[:30] if (int(a[1:]) - int(b[1:])) % 3 == 0])
+    other = np.mean([held[a] @ held[b] for a in names[:30] for b in names[:30] if (int(a[1:]) - int(b[1:])) % 3])
+    assert same > other + 0.4
+    # a question made of a text's own terms lies where the text lies
+    asked = spark.createDataFrame([(1, t, w) for d, t, w in rows if d == "d7"] + [(2, "unknown", 1.0)], "q_id int, term string, weight double")
+    (only,) = text_embedding.embed_queries(asked, made).collect()
+    assert only["q_id"] == 1 and np.dot(only["vector"], held["d7"]) / np.linalg.norm(only["vector"]) > 0.99
+    narrow = text_embedding.embed_text(weights.filter("id in ('d0', 'd1')"), dim=6)
+    assert narrow.dim == 2 and narrow.captured == pytest.approx(1.0)
+    none = text_embedding.embed_text(weights.limit(0), dim=3)
+    assert none.dim == 0 and none.captured == 0.0 and none.texts.count() == 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netsleuth.functions.schema import FLOW_COLUMNS, MODEL_FEATURES
-from netsleuth.operators import cleaning, gate, metrics, registry, training
+from netsleuth.operators import boosting, cleaning, gate, metrics, registry, training
 from netsleuth.plans import jobs
 
 
@@ -35,13 +35,55 @@ def test_search_reports_every_trial(spark, flows):
     gold = cleaning.engineer(cleaning.silver(flows))
     vectors = training.feature_vectors(cleaning.model_matrix(gold, ["flow_id", "Label"]), ["flow_id", "Label"])
     space = {"maxIter": ("int", 2, 3), "maxDepth": ("int", 1, 3)}
-    best, report = training.search_params(vectors, "flow_id", trials=2, folds=2, rows=400, space=space)
+    best, report = training.search_params(vectors, "flow_id", trials=4, folds=2, rows=400, space=space, rungs=[(0.5, 2), (1.0, 3)])
     rows = report.collect()
-    assert len(rows) == 2 and best["maxDepth"] in (1, 2, 3)
-    assert max(r["cv_roc_auc"] for r in rows) == [r["cv_roc_auc"] for r in rows if r["maxDepth"] == best["maxDepth"]][0]
+    assert len(rows) == 4 and sorted(r["rung"] for r in rows) == [1, 1, 2, 2] and sum(r["best"] for r in rows) == 1
+    (top,) = [r for r in rows if r["best"]]
+    assert top["rung"] == 2 and top["cv_roc_auc"] == max(r["cv_roc_auc"] for r in rows if r["rung"] == 2) > 0.6
+    assert best["maxDepth"] == top["maxDepth"] and best["maxIter"] == top["trees"] <= top["maxIter"]
     assert len(training.draw_params(25, 42)) == 25 and training.draw_params(3, 1) == training.draw_params(3, 1)
 
 
+def test_patience_looks_only_so_far():
+    assert training.patient_round([3, 2, 2, 1, 4, 4, 4, 0], 3) == 4
+    assert training.patient_round([3, 2, 2, 1, 4, 4, 0], 3) == 7
+    assert training.patient_round([1.0], 30) == 1 and training.patient_round([5, 4, 3], 1) == 3
+
+
+def test_trees_as_arrays_say_what_the_model_says(spark, flows):
+    import numpy as np
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    gold = cleaning.engineer(cleaning.silver(flows))
+    data = training.feature_vectors(cleaning.model_matrix(gold, ["flow_id", "Label"]), ["flow_id", "Label"]).withColumn(
+        "x", vector_to_array("features")).cache()
+    model = GBTClassifier(featuresCol="features", labelCol="Label", maxIter=4, maxDepth=3, seed=2).fit(data)
+    rows = {r["flow_id"]: r for r in data.collect()}
+    x = np.array([r["x"] for r in rows.values()])
+    staged = boosting.read_trees(model).staged(x)
+    for n in (1, 3, 4):
+        cut = boosting.first_trees(model, n)
+        said = {r["flow_id"]: r["rawPrediction"][1] for r in cut.transform(data).select("flow_id", "rawPrediction").collect()}
+        assert cut.getNumTrees == n and np.allclose(staged[:, n - 1], [said[i] for i in rows], atol=1e-12)
+    parts = boosting.contributions(model, data, ["flow_id"], x.shape[1])
+    for r in parts.collect():
+        assert r["raw"] == pytest.approx(said[r["flow_id"]], abs=1e-9)
+        assert r["base"] + sum(r["contributions"]) == pytest.approx(r["raw"], abs=1e-9)
+    top = boosting.contribution_ranking(parts, MODEL_FEATURES, 3).collect()
+    assert top[0]["feature"] in ("IN_PKTS", "TOTAL_PKTS", "PKT_DIR_RATIO", "BYTES_PER_PKT_IN", "RETRANS_RATE")
+    assert boosting.contributions(model, data.limit(0), ["flow_id"], x.shape[1]).count() == 0
+    # staged AUC of the rows of each fold against the plain definition
+    folded = data.withColumn("fold", (data["flow_id"] % 2).cast("int"))
+    trees = boosting.read_trees(model)
+    auc = boosting.grouped_auc(boosting.staged_scores(folded, {(0, 0): trees, (0, 1): trees}, "fold", "Label"), ["trial", "fold", "stage"])
+    y, f = np.array([r["Label"] for r in rows.values()]), np.array(list(rows)) % 2
+    for r in auc.collect():
+        s = staged[:, r["stage"] - 1]
+        a, b = s[(f == r["fold"]) & (y == 1)], s[(f == r["fold"]) & (y == 0)]
+        assert r["auc"] == pytest.approx(np.mean((a[:, None] > b) + (a[:, None] == b) / 2))
+
+
 def test_registry_promotes_at_the_bar(spark, tmp_path):
     path = str(tmp_path / "registry")
     assert registry.register_model(spark, path, "m", "r1", 0.95, "p1") == 1
