@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netsleuth.functions.columns import dot, sigmoid
+from netsleuth.functions.columns import dot, hash_long, sigmoid
 from netsleuth.operators.ranking import bucket_rank, hash_rank, spread_lookup
 from netsleuth.operators.splits import three_way_split
 from netsleuth.session import durable, shuffle_width
@@ -105,40 +103,49 @@ def leaked_edges(message: DataFrame, split: DataFrame) -> DataFrame:
     return held.join(message, ["src", "dst"], "left_semi")
 
 
-GOLDEN = 0.6180339887498949  # turns by this share of a circle fall evenly on it
+ROUNDS = 4
+
+
+def permuted(i: Column, half: int, seed) -> Column:
+    """A keyed permutation of the numbers below 2^(2 * half): each round mixes a hash of one half into the other."""
+    mask = (1 << half) - 1
+    left, right = F.shiftright(i, half), i.bitwiseAND(F.lit(mask))
+    for turn in range(ROUNDS):
+        left, right = right, left.bitwiseXOR(hash_long(f"{seed}.{turn}", right).bitwiseAND(F.lit(mask)))
+    return F.shiftleft(left, half).bitwiseOR(right)
 
 
 def sample_negatives(nodes: DataFrame, edges: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """min(n, available) distinct (group, technique) pairs that are no edge.
+    """min(n, available) distinct (group, technique) pairs that are no edge, drawn at random by the seed.
 
-    Pair codes step through all group x technique cells by the first number from the
-    golden share of the cells on that has no factor in common with them. So no cell
-    repeats before all are seen, and any run of steps falls evenly on groups and on
-    techniques. The first n + |edges| steps must hold n non-edges; they are generated
-    in place, and no cell beyond them is ever formed.
+    A keyed permutation puts the group x technique cells into an order like a shuffled
+    one: it permutes the next even number of bits, and numbers outside the grid are
+    stepped over. The first n cells that are no edge are the sample. Steps are generated
+    in place, as many as the density of edges calls for and more only if they fall short.
     """
     spark = nodes.sparkSession
-    known = edges.select("src", "dst").distinct()
+    known = durable(edges.select("src", "dst").distinct())
     sizes = {r["kind"]: r["n"] for r in nodes.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     groups, techniques = sizes.get("group", 0), sizes.get("technique", 0)
     cells = groups * techniques
-    steps = min(cells, n + known.count())
-    if steps == 0:
+    if min(cells, n) == 0:
         return known.limit(0)
-    stride = int(cells * GOLDEN)
-    while math.gcd(stride, cells) != 1:
-        stride += 1
-    wide = "decimal(38,0)"
-    code = (
-        F.col("id").cast("decimal(18,0)") * F.lit(stride).cast("decimal(19,0)") + F.lit(seed).cast("decimal(10,0)")
-    ).cast(wide) % F.lit(cells).cast(wide)
-    walk = spark.range(steps).select(F.col("id").alias("step"), code.cast("bigint").alias("_c")).selectExpr(
-        "step", f"_c div {techniques} as _g", f"_c % {techniques} as _t")
-    indexed = dense_index(nodes.select("id", "kind"), by=["kind"])
+    half = max(1, -(-(cells - 1).bit_length() // 2))
+    numbers = 1 << (2 * half)
+    indexed = durable(dense_index(nodes.select("id", "kind"), by=["kind"]))
     pick = lambda kind, key, name: indexed.filter(F.col("kind") == kind).select(
         F.col("idx").alias(key), F.col("id").alias(name))
-    pairs = walk.join(pick("group", "_g", "src"), "_g").join(pick("technique", "_t", "dst"), "_t")
-    free = pairs.join(known, ["src", "dst"], "left_anti").select("step", "src", "dst")
+    free_cells = max(cells - known.count(), 1)
+    steps = min(numbers, int(1.1 * n * numbers / free_cells) + 256)
+    while True:
+        # one shuffled projection a round: the halves are hashed once each
+        walk = spark.range(steps).select(F.col("id").alias("step"), permuted(F.col("id"), half, seed).alias("_c")).filter(
+            F.col("_c") < cells).selectExpr("step", f"_c div {techniques} as _g", f"_c % {techniques} as _t")
+        pairs = walk.join(pick("group", "_g", "src"), "_g").join(pick("technique", "_t", "dst"), "_t")
+        free = durable(pairs.join(known, ["src", "dst"], "left_anti").select("step", "src", "dst"))
+        if steps == numbers or free.count() >= n:
+            break
+        steps = min(numbers, 2 * steps)
     width = max(1, steps // (16 * shuffle_width(spark)))
     ranked = bucket_rank(free, F.expr(f"step div {width}"), [F.col("step")])
     return durable(ranked.filter(F.col("rank") <= n).select("src", "dst"))

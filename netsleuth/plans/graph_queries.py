@@ -44,15 +44,25 @@ MESSAGE_SQL = (
     "select src, dst from split where part = 'train'), "
     "message as (select src, dst from once union all select dst, src from once)")
 INDEX_SQL = "row_number() over ({part} order by md5('0|' || id), id) - 1"
+
+
+def _permuted_sql(seed=42):
+    """Rounds of the keyed permutation: each takes (step, l, r) to the next."""
+    out = ["f0 as (select step, step >> half as l, step & ((1::bigint << half) - 1) as r, half, cells, nt from steps)"]
+    for turn in range(graph.ROUNDS):
+        mixed = f"xor(l, ('0x' || substr(md5('{seed}.{turn}|' || r), 1, 8))::bigint & ((1::bigint << half) - 1))"
+        out.append(f"f{turn + 1} as (select step, r as l, {mixed} as r, half, cells, nt from f{turn})")
+    return ", ".join(out)
+
+
 NEGATIVES_SQL = (
     "kinds as (select id, kind, " + INDEX_SQL.format(part="partition by kind") + " as idx from nodes), "
     "dims as (select count(*) filter (where kind = 'group') as ng, count(*) filter (where kind = 'technique') as nt from nodes), "
     "target as (select distinct src, dst from edges where rel = 'group_uses_technique'), "
-    "strides as (select min(s) as stride from (select unnest(range(floor(ng * nt * 0.6180339887498949::double)::bigint, "
-    "floor(ng * nt * 0.6180339887498949::double)::bigint + 1000)) as s, ng * nt as cells from dims) where gcd(s, cells) = 1), "
-    f"steps as (select unnest(range(least(ng * nt, {N_HELD} + (select count(*) from target)))) as step, "
-    "ng * nt as cells, nt from dims), "
-    "walk as (select step, ((step::hugeint * stride + 42) % cells)::bigint as code, nt from steps, strides), "
+    "sizes as (select ng * nt as cells, nt, greatest(1, ceil(ceil(log2(greatest(ng * nt, 1))) / 2))::bigint as half from dims), "
+    "steps as (select unnest(range(1::bigint << (2 * half))) as step, half, cells, nt from sizes), "
+    f"{_permuted_sql()}, "
+    f"walk as (select step, (l << half) | r as code, nt from f{graph.ROUNDS} where ((l << half) | r) < cells), "
     "negatives as (select g.id as src, t.id as dst from walk join kinds g on g.kind = 'group' and g.idx = code // nt "
     "join kinds t on t.kind = 'technique' and t.idx = code % nt "
     "anti join target on g.id = target.src and t.id = target.dst "

@@ -46,16 +46,32 @@ def typed(spark, groups, techniques):
                                  "id string, kind string, name string, ext_id string")
 
 
-@pytest.mark.parametrize("groups, techniques, wanted", [(16, 32, 96), (7, 11, 60), (5, 9, 1000), (1, 1, 3), (0, 4, 2)])
-def test_negatives_fall_evenly_on_what_is_no_edge(spark, groups, techniques, wanted):
+@pytest.mark.parametrize("groups,techniques,wanted", [(384, 427, 427), (64, 64, 500), (5, 9, 12), (5, 9, 100), (1, 1, 3), (3, 1, 2)])
+def test_negatives_are_a_random_draw_of_what_is_no_edge(spark, groups, techniques, wanted):
     edges = {(f"g{g}", f"t{t}") for g in range(groups) for t in range(techniques) if (3 * g + 5 * t) % 7 == 0}
-    free = {(f"g{g}", f"t{t}") for g in range(groups) for t in range(techniques)} - edges
+    free = groups * techniques - len(edges)
     known = spark.createDataFrame(sorted(edges), "src string, dst string")
-    found = [tuple(r) for r in graph.sample_negatives(typed(spark, groups, techniques), known, wanted).collect()]
-    assert len(found) == min(wanted, len(free)) and len(set(found)) == len(found) and set(found) <= free
-    if len(found) < len(free):
-        per_group = Counter(src for src, _ in found)
-        assert len(per_group) == groups and max(per_group.values()) <= 2 * len(found) / groups + 2
+    draw = lambda seed: [tuple(r) for r in graph.sample_negatives(typed(spark, groups, techniques), known, wanted, seed).collect()]
+    found = draw(42)
+    assert len(found) == min(wanted, free) and len(set(found)) == len(found) and not set(found) & edges
+    assert sorted(found) == sorted(draw(42))
+    if len(found) < free:
+        for side, size in ((0, groups), (1, techniques)):
+            # counts of a side's members are about Poisson: their number and their largest lie where a shuffle's would
+            each = Counter(pair[side] for pair in found)
+            mean = len(found) / size
+            expected = size * (1 - (1 - 1 / size) ** len(found))
+            assert abs(len(each) - expected) <= 5 * expected ** 0.5 / 2 + 1
+            assert max(each.values()) <= mean + 5 * mean ** 0.5 + 3
+        other = draw(43)
+        # another seed is no shift of this one
+        assert len(set(found) & set(other)) <= len(found) * len(found) / free + 5 * (len(found) ** 2 / free) ** 0.5 + 3
+
+
+def test_keyed_permutation_visits_every_number_once(spark):
+    for half, seed in ((1, 1), (3, 42), (6, 43)):
+        codes = [r[0] for r in spark.range(1 << (2 * half)).select(graph.permuted(F.col("id"), half, seed)).collect()]
+        assert sorted(codes) == list(range(1 << (2 * half)))
 
 
 def test_no_ranking_without_a_vector(spark):
