@@ -6,34 +6,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import tokens
+from netsleuth.session import durable
 
 SUPPORT_BAR = 0.5
 
 
+GRAM = 3
+
+
+def _runs(parts, size, hashed: bool):
+    """Every run of ``size`` consecutive entries of an array; one shorter run where there are fewer."""
+    one = (lambda i: F.xxhash64(F.slice(parts, i, size))) if hashed else (lambda i: F.array_join(F.slice(parts, i, size), ""))
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - size + 1, F.lit(1))), one)
+
+
 def passages_containing(passages: DataFrame, documents: DataFrame, shingle: int = 6) -> DataFrame:
     """Documents holding a passage verbatim: (q_id, doc_id).
 
-    The whole words inside a passage, its first and last left out, must recur in such a
-    document, so the pairs come from an equi-join on a run of up to ``shingle`` of them
-    and are then checked in full. Passages without an inner word, which have no such key,
-    are looked up in every text as the query set they are. ``passages`` is (q_id,
-    passage), ``documents`` (doc_id, text); null passages are held by no document.
+    Candidates come from equi-joins and are then checked in full. The whole words inside
+    a passage, its first and last left out, must recur in such a document, so a run of
+    up to ``shingle`` of them is the key. A passage without an inner word is keyed by
+    that run of up to ``GRAM`` characters of it that fewest documents have. ``passages``
+    is (q_id, passage), ``documents`` (doc_id, text); null passages are held by no
+    document, empty ones by every document with a text.
     """
     words = tokens(F.col("passage"))
     inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
-    held = passages.filter(F.col("passage").isNotNull()).select("q_id", "passage", F.slice(inner, 1, shingle).alias("_run"))
-    asked = held.filter(F.size("_run") > 0).select("q_id", "passage", F.size("_run").alias("_n"), F.xxhash64("_run").alias("_key"))
+    held = durable(passages.filter(F.col("passage").isNotNull()).select("q_id", "passage", F.slice(inner, 1, shingle).alias("_run")))
+    asked = held.filter(F.size("_run") > 0).select("q_id", F.size("_run").alias("_n"), F.xxhash64("_run").alias("_key"))
     # run lengths in use, ``shingle`` at most
     lengths = asked.agg(F.collect_set("_n").alias("_ns")).select("_ns").scalar()
     body = documents.select("doc_id", tokens(F.col("text")).alias("_t")).withColumn("_ns", lengths)
-    runs = F.flatten(F.transform("_ns", lambda n: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("_t") - n + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("_t", i, n)))))
-    keyed = body.select("doc_id", F.explode(F.array_distinct(runs)).alias("_key"))
-    pairs = keyed.join(asked.select("q_id", "_key"), "_key").select("q_id", "doc_id").distinct()
-    checked = pairs.join(documents, "doc_id").join(passages, "q_id").filter(F.contains(F.col("text"), F.col("passage")))
-    short = held.filter(F.size("_run") == 0).select("q_id", "passage")
-    found = documents.join(short, F.contains(F.col("text"), F.col("passage")))
-    return checked.select("q_id", "doc_id").unionByName(found.select("q_id", "doc_id")).distinct()
+    keyed = body.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(
+        "_ns", lambda n: _runs(F.col("_t"), n, True))))).alias("_key"))
+    pairs = keyed.join(asked.select("q_id", "_key"), "_key").select("q_id", "doc_id")
+
+    letters = lambda c: F.when(F.length(c) > 0, F.split(c, "")).otherwise(F.array().cast("array<string>"))
+    short = held.filter(F.size("_run") == 0).select("q_id", letters("passage").alias("_c")).withColumn(
+        "_n", F.least(F.size("_c"), F.lit(GRAM)))
+    grams = short.select("q_id", F.explode(F.array_distinct(_runs(F.col("_c"), F.col("_n"), False))).alias("_gram"))
+    sizes = short.agg(F.collect_set("_n").alias("_ns")).select("_ns").scalar()
+    text = documents.filter(F.col("text").isNotNull()).select("doc_id", letters("text").alias("_c")).withColumn("_ns", sizes)
+    spelt = text.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(
+        "_ns", lambda n: F.when(n > 0, _runs(F.col("_c"), n, False)).otherwise(F.array(F.lit(""))))))).alias("_gram"))
+    wanted = durable(spelt.join(grams.select("_gram").distinct(), "_gram"))
+    counted = grams.join(wanted.groupBy("_gram").agg(F.count(F.lit(1)).alias("_df")), "_gram")
+    rarest = counted.groupBy("q_id").agg(F.min_by("_gram", F.struct("_df", "_gram")).alias("_gram"))
+    pairs = pairs.unionByName(wanted.join(rarest, "_gram").select("q_id", "doc_id")).distinct()
+    return pairs.join(documents, "doc_id").join(passages, "q_id").filter(
+        F.contains(F.col("text"), F.col("passage"))).select("q_id", "doc_id").distinct()
 
 
 def context_precision(hits: DataFrame, relevant: DataFrame) -> DataFrame:

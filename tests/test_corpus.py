@@ -203,7 +203,7 @@ def test_passages_containing(spark):
 def test_passages_of_any_length(spark):
     bodies = {1: "The quick brown fox jumps over the lazy dog", 2: "quick brown foxes", 3: "a lazy dog", 4: None, 5: "brow", 6: "12 34"}
     docs = spark.createDataFrame(list(bodies.items()), "doc_id int, text string")
-    asked = ["quick", "brow", "ick brown fo", "lazy dog", "he quick brown fox jumps ov", "quick brown fox jumps over the lazy dog", "2 3", "dog a", None]
+    asked = ["quick", "brow", "ick brown fo", "lazy dog", "he quick brown fox jumps ov", "quick brown fox jumps over the lazy dog", "2 3", "dog a", None, "", "x", "a ", "og", "ogre", "é"]
     table = spark.createDataFrame(list(enumerate(asked)), "q_id int, passage string")
     got = {(r["q_id"], r["doc_id"]) for r in retrieval_eval.passages_containing(table, docs).collect()}
     assert got == {(q, d) for q, p in enumerate(asked) for d, t in bodies.items() if p is not None and t is not None and p in t}

@@ -22,7 +22,8 @@ def test_query_matches_sql(spark, con, name):
 
 def test_no_cross_joins(spark):
     """Representative plans hold no product of two tables."""
-    for name in ("vector_topk", "two_stage_retrieve", "rank_techniques", "sample_negatives", "drift_psi", "refute_placebo"):
+    for name in ("vector_topk", "two_stage_retrieve", "rank_techniques", "sample_negatives", "drift_psi", "refute_placebo",
+                 "relevant_documents", "context_precision", "context_recall", "vector_index", "sparse_bounded"):
         plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 
