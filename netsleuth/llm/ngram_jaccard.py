@@ -8,9 +8,11 @@ a shingle among the first ``n - ceil(t n) + 1`` in that order; a tile holds the
 documents that share one such shingle, ordered by set size.
 
 1. Equal sets collapse into one class (a 64-bit set hash; classes are then one row).
-2. Inside a tile only sizes within the band meet. The bit counts of the 512-bit
-   parity bitmaps bound the overlap from above; surviving pairs are walked breadth
-   first, so a tile of m members gives fewer than m links, never all pairs.
+2. Inside a tile only sizes within the band meet. The bit counts of the parity bitmaps
+   bound the overlap from above; surviving pairs are walked breadth first, so a tile of
+   m members gives fewer than m links, never all pairs. A bitmap has four bits for each
+   element by which two sets of that size may differ, 512 at least, so unrelated sets of any
+   size differ in twice the bits allowed; of two widths the wider is folded to the other.
 3. The linked classes form groups. Each member's text is shuffled to two size bands of
    its group, where wider bitmaps bound the pairs again and the sorted arrays are intersected.
 
@@ -31,6 +33,8 @@ from netsleuth.llm.shared import components, texts, written
 
 SMALL_GROUP = 48
 TILE_BITS = 512
+#: 64-bit words compared in one go.
+COMPARED = 1 << 21
 #: Documents whose shingles are counted, and in how many of them a shingle is common.
 SAMPLE = 10_000
 COMMON = 4
@@ -67,14 +71,55 @@ def _bitmap(ids, bits):
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+def _bits_for(n, num, den):
+    """Bits of the bitmap of a set of ``n``: four times the largest difference from a set as large."""
+    most = -(-2 * n * (den - num) // (den + num))
+    return max(TILE_BITS, 1 << int(4 * most - 1).bit_length()) if most else TILE_BITS
+
+
+class _Bitmaps:
+    """Bitmaps of several widths: a row is kept at its own and folded to every smaller width in use."""
+
+    def __init__(self, packed):
+        import numpy as np
+
+        self.width = np.array([len(p) // 8 for p in packed], dtype=np.int64)
+        self.place, self.rows = {}, {}
+        wider, held = None, np.zeros(0, dtype=np.int64)
+        for w in np.unique(self.width)[::-1].tolist():
+            own = np.flatnonzero(self.width == w)
+            matrix = np.frombuffer(b"".join([packed[i] for i in own]), dtype=np.uint64).reshape(len(own), w)
+            if wider is not None:
+                folded = np.bitwise_xor.reduce(wider.reshape(len(wider), -1, w), axis=1)
+                matrix = np.concatenate([folded, matrix])
+            held = np.concatenate([held, own])
+            place = np.full(len(packed), -1, dtype=np.int64)
+            place[held] = np.arange(len(held))
+            self.place[w], self.rows[w], wider = place, matrix, matrix
+
+    def apart(self, i, j):
+        """In how many bits the rows ``i`` differ from the rows ``j``; ``i`` may be one row."""
+        import numpy as np
+
+        j = np.asarray(j)
+        i = np.broadcast_to(i, j.shape)
+        common = np.minimum(self.width[i], self.width[j])
+        out = np.zeros(len(j), dtype=np.int64)
+        for w in np.unique(common).tolist():
+            rows, place, which = self.rows[w], self.place[w], np.flatnonzero(common == w)
+            for some in np.array_split(which, max(1, len(which) * w // COMPARED)):
+                differ = rows[place[i[some]]] ^ rows[place[j[some]]]
+                out[some] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _near(bitmaps, sizes, i, others, num, den):
     """Those of ``others`` whose size and bit counts still allow the similarity with ``i``."""
     import numpy as np
 
     lo, hi = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
     others = others[den * lo >= num * hi]
-    apart = np.bitwise_count(bitmaps[others] ^ bitmaps[i]).sum(axis=1, dtype=np.int64)
-    return others[(den + num) * apart <= (den - num) * (sizes[others] + sizes[i])]
+    return others[(den + num) * bitmaps.apart(i, others) <= (den - num) * (sizes[others] + sizes[i])]
 
 
 def _walk(bitmaps, sizes, num, den, check=None):
@@ -204,7 +249,7 @@ def _describe(width, num, den, shipped):
                     s = _shingles(words, row, width)
                     sizes.append(len(s))
                     classes.append(np.sum(mix(s), dtype=np.uint64) ^ np.uint64(len(s)))
-                    bitmaps.append(_bitmap(s, TILE_BITS).tobytes() if len(s) else b"")
+                    bitmaps.append(_bitmap(s, _bits_for(len(s), num, den)).tobytes() if len(s) else b"")
                     keys.append(signed(_prefix(s, len(s) + (-num * len(s) // den) + 1, common) if len(s) else s))
                 flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
@@ -264,19 +309,20 @@ def _tiles(num, den, apart=False):
         def links(table):
             key = table.column("grp").to_numpy()
             ids, sizes = table.column("id").to_numpy(), table.column("n").to_numpy()
-            bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), dtype=np.uint64).reshape(len(key), -1)
+            packed = table.column("bitmap").to_pylist()
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=int)
             counts = np.diff(np.concatenate([starts, [len(key)]]))
             if apart:
                 side, comp = table.column("side").to_numpy(), table.column("comp").to_numpy()
                 for s, m in zip(starts, counts):
                     part = slice(s, s + m)
-                    for i, j in _across(bits[part], sizes[part], side[part], comp[part], num, den):
+                    for i, j in _across(_Bitmaps(packed[part]), sizes[part], side[part], comp[part], num, den):
                         yield ids[s + i], ids[s + j]
                 return
             for s, m in zip(starts[counts > SMALL_GROUP], counts[counts > SMALL_GROUP]):
-                for i, j in _walk(bits[s:s + m], sizes[s:s + m], num, den):
+                for i, j in _walk(_Bitmaps(packed[s:s + m]), sizes[s:s + m], num, den):
                     yield ids[s + i], ids[s + j]
+            bits = _Bitmaps(packed)
             for m in range(2, SMALL_GROUP + 1):
                 at = starts[counts == m]
                 if not len(at):
@@ -286,8 +332,7 @@ def _tiles(num, den, apart=False):
                     i, j = (part[:, None] + u).ravel(), (part[:, None] + v).ravel()
                     fits = den * sizes[i] >= num * sizes[j]
                     i, j = i[fits], j[fits]
-                    differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-                    fits = (den + num) * differ <= (den - num) * (sizes[i] + sizes[j])
+                    fits = (den + num) * bits.apart(i, j) <= (den - num) * (sizes[i] + sizes[j])
                     yield from zip(ids[i[fits]], ids[j[fits]])
 
         for table in _groups(batches, "grp"):
@@ -331,7 +376,7 @@ def _verify(width, num, den, apart=False):
                 return []
             sizes = np.array([len(s) for s in sets])
             width_bits = 1 << int(min(16, max(9, np.ceil(np.log2(4 * np.median(sizes))))))
-            bits = np.stack([_bitmap(s, width_bits) for s in sets])
+            bits = _Bitmaps([_bitmap(s, width_bits).tobytes() for s in sets])
 
             def reaches(i, j):
                 small, large = (sets[i], sets[j]) if sizes[i] <= sizes[j] else (sets[j], sets[i])

@@ -109,7 +109,7 @@ def test_jaccard_walk_finds_every_component_of_a_large_tile():
             for k in rng.integers(0, 30, 120)]
     sets.sort(key=len)
     sizes = np.array([len(s) for s in sets])
-    bits = np.stack([ngram_jaccard._bitmap(s, 4096) for s in sets])
+    bits = ngram_jaccard._Bitmaps([ngram_jaccard._bitmap(s, 4096 if i % 3 else 1024).tobytes() for i, s in enumerate(sets)])
     near = lambda i, j: 10 * len(np.intersect1d(sets[i], sets[j])) >= 9 * len(np.union1d(sets[i], sets[j]))
     want = groups_of({i: set(s.tolist()) for i, s in enumerate(sets)}, 9, 10)
     links = ngram_jaccard._walk(bits, sizes, 9, 10, near)
@@ -122,6 +122,26 @@ def test_jaccard_walk_finds_every_component_of_a_large_tile():
     assert {i: find(i) for i in root} == want
 
 
+@pytest.mark.parametrize("num,den", [(8, 10), (9, 10)])
+def test_bitmaps_tell_unrelated_sets_of_any_size_apart(num, den):
+    rng = np.random.default_rng(8)
+    for n in (40, 600, 1200, 2500, 20_000):
+        base = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        # the others: unrelated, then as far from the first as the similarity just allows, and a little larger
+        far = [np.unique(rng.integers(0, 2 ** 63, int(n * f)).astype(np.uint64)) for f in (1, 0.97, 1.05, 1, 1, 1, 1, 1)]
+        lost = n * (den - num) // (den + num)
+        near = [np.unique(np.concatenate([rng.choice(base, len(base) - lost, replace=False),
+                                          rng.integers(0, 2 ** 63, lost).astype(np.uint64)])) for _ in range(4)]
+        sets = [base, *far, *near]
+        sizes = np.array([len(s) for s in sets])
+        bits = ngram_jaccard._Bitmaps([ngram_jaccard._bitmap(s, ngram_jaccard._bits_for(len(s), num, den)).tobytes() for s in sets])
+        others = np.arange(1, len(sets))
+        assert set(ngram_jaccard._near(bits, sizes, 0, others, num, den).tolist()) == set(others[len(far):].tolist())
+        # the bit counts never say more than the sets differ by, whatever widths are compared
+        for j in others:
+            assert bits.apart(0, np.array([j]))[0] <= len(np.setxor1d(sets[0], sets[j]))
+
+
 def test_jaccard_deals_large_tiles_and_groups_out(spark, monkeypatch):
     """Blocks of a few rows give the same components, and no task holds more than two of them."""
     rng = np.random.default_rng(12)
