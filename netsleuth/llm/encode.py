@@ -74,6 +74,10 @@ class Encoder:
         first, _, others = text.partition(" ")
         return first.replace(_INNER, " "), others
 
+    def forget(self) -> None:
+        """Empty the cache."""
+        self.known, self.older = {"": b""}, {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, without special tokens."""
         import pyarrow as pa

@@ -34,7 +34,7 @@ from netsleuth.llm.shared import components, texts, written
 SMALL_GROUP = 48
 TILE_BITS = 512
 #: 64-bit words compared in one go.
-COMPARED = 1 << 21
+COMPARED = 1 << 18
 #: Documents whose shingles are counted, and in how many of them a shingle is common.
 SAMPLE = 10_000
 COMMON = 4

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from netsleuth.llm.shared import texts
 
 END_ID = 2
+#: Bytes of ids in one batch of rows.
+BATCH_BYTES = 8 << 20
 
 
 def cut_lengths(total: int, capacity: int, slack: int) -> list[int]:
@@ -66,18 +68,21 @@ def _pack(path, capacity, slack, keep_ids):
         base = (context.partitionId() if context else 0) << 32
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * keep_ids
         kinds = [pa.int64()] * 7 + [pa.binary()] * keep_ids
-        open_bins, rows, used = {}, [], 0
+        open_bins, rows, used, held_bytes = {}, [], 0, 0
         encode, end = encoder(path).column, END_ID.to_bytes(4, "little")
 
         def close(pieces):
-            nonlocal used
+            nonlocal used, held_bytes
             at = 0
             for piece in pieces:
                 rows.append(piece[:5] + (base + used, at) + piece[5:])
                 at += piece[2]
             used += 1
+            held_bytes += 4 * at * keep_ids
 
         def flush():
+            nonlocal held_bytes
+            held_bytes = 0
             batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
             rows.clear()
             return batch
@@ -95,13 +100,15 @@ def _pack(path, capacity, slack, keep_ids):
                     if len(held) == k:
                         close(open_bins.pop(k))
                     start += n
-                if len(rows) >= 8192:
+                if len(rows) >= 8192 or held_bytes >= BATCH_BYTES:
                     yield flush()
         left = [piece for k in sorted(open_bins) for piece in open_bins[k]]
         for members in first_fit([piece[2] for piece in left], capacity):
             close([left[i] for i in members])
         if rows:
             yield flush()
+        # an idle worker holds no pieces
+        encoder(path).forget()
 
     return run
 

@@ -441,8 +441,45 @@ def test_pipeline(spark):
             for r in kept["toxicity"].collect()}
     groups = groups_of(sets, 8, 10)
     assert {r["doc_id"] for r in kept["near_copies"].collect()} == {i for i, g in groups.items() if i == g}
+    texts = {name: {r["doc_id"]: r["text"] for r in df.collect()} for name, df in kept.items()}
+    # repeats: words of 50-word windows that a smaller id also starts
+    first, left = {}, {}
+    split = {i: words(t) for i, t in texts["near_copies"].items()}
+    for i in sorted(split):
+        for k in range(len(split[i]) - 49):
+            first.setdefault(tuple(split[i][k:k + 50]), i)
+    for i, w in split.items():
+        gone = {p for k in range(len(w) - 49) if first[tuple(w[k:k + 50])] < i for p in range(k, k + 50)}
+        left[i] = [x for k, x in enumerate(w) if k not in gone]
+    assert {i: words(t) for i, t in texts["substring_dedup"].items()} == left
+    # benchmark passages: no window of ten words, or of a whole shorter item, is left
+    windows = set()
+    for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect():
+        w = item_words(r["text"])
+        windows |= {tuple(w[k:k + 10]) for k in range(max(1, len(w) - 9))} if w else set()
+    holds = lambda w: any(tuple(w[k:k + n]) in windows for n in {len(x) for x in windows} for k in range(len(w) - n + 1))
+    assert set(texts["decontamination"]) == {i for i, t in texts["substring_dedup"].items() if not holds(item_words(t))}
     pieces = corpus_pipeline.run(spark, FOLDER)
-    assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    library, packed, filled = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), {}, {}
+    for r in pieces.orderBy("doc_id", "start").collect():
+        packed[r["doc_id"]] = packed.get(r["doc_id"], b"") + bytes(r["ids"])
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert packed == {i: np.array(library.encode(t or "", add_special_tokens=False).ids + [2], dtype="<u4").tobytes()
+                      for i, t in texts["decontamination"].items()}
+    for spans in filled.values():
+        assert sum(n for _, n in spans) <= 4096
+        assert [at for at, _ in sorted(spans)] == np.cumsum([0, *[n for _, n in sorted(spans)]])[:-1].tolist()
+
+
+def test_pipeline_stages_on_rows_without_values(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, "no id", None, None, None), (1, None, None, None, None), (2, "", None, None, 0), (3, "one two", "en", None, 7),
+            (3, "one two", "en", None, 7), (4, "word " * 5000, None, "s", 25000)]
+    docs = spark.createDataFrame(rows, schema)
+    for made, want in ((docs, {1, 2, 3, 4}), (docs.limit(0), set())):
+        for name, stage in corpus_pipeline.STAGES:
+            made = shared.written(stage(spark, made, FOLDER), name)
+        assert {r["doc_id"] for r in made.select("doc_id").collect()} == want
 
 
 def test_components(spark):
