@@ -117,6 +117,10 @@ def embed_text(weights: DataFrame, dim: int = DIM, power: int = POWER, seed: int
         by_term = durable(_by(weights.join(y, "id"), "term", names))
         y = durable_partitions(_by(spread_lookup(weights, by_term, "term", names), "id", names))
     values, vectors = _leading(gram(y, names))
+    if not len(values):  # no text has a term
+        none = weights.limit(0)
+        return Embedding(none.select("id", F.array().cast("array<double>").alias("vector")), none.select("term"), weights,
+                         none.select("id"), 0, 0.0)
     basis = durable(turned(y, "id", names, vectors / np.sqrt(values)))
     names = _names(len(values))
     spread = durable(_by(weights.join(basis, "id"), "term", names))
@@ -132,6 +136,8 @@ def embed_text(weights: DataFrame, dim: int = DIM, power: int = POWER, seed: int
 
 def embed_queries(queries: DataFrame, embedding: Embedding) -> DataFrame:
     """(q_id, vector) of the weighted terms (q_id, term, weight); terms without a direction add nothing."""
+    if not embedding.dim:
+        return queries.limit(0).select("q_id", F.array().cast("array<double>").alias("vector"))
     names = _names(embedding.dim)
     placed = _by(queries.join(embedding.terms, "term"), "q_id", names)
     return placed.select("q_id", F.array(*names).alias("vector"))
