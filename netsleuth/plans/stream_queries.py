@@ -9,7 +9,7 @@ from netsleuth.plans import flow_queries as fq
 from netsleuth.plans.registry import Family
 from netsleuth.sources import views
 from netsleuth.sources.tables import table
-from netsleuth.streaming import jobs
+from netsleuth.streaming import jobs, window_drift
 
 FAMILY = Family()
 register = FAMILY.register
@@ -100,6 +100,46 @@ def _(spark, d):
     return _stamped(spark.read.parquet(f"{folder}/drift").select("start", "n", "statistic", "drifted"), "start")
 
 
+_DRIFT_CELLS = ("edges as (select list_distinct(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) as ev, "
+                "list_distinct(quantile_cont(k, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) as ek from ev where ref), "
+                "cells as (select ref, s, 'value' as col, 'psi' as method, len(list_filter(ev, lambda x: x < value))::varchar as bin "
+                "from ev, edges where value is not null union all select ref, s, 'k', 'psi', len(list_filter(ek, lambda x: x < k))::varchar "
+                "from ev, edges where k is not null union all select ref, s, 'event_type', 'js', event_type from ev where event_type is not null)")
+_WINDOW_DRIFT_SQL = (
+    "with ev as (select *, json_extract_string(props, '$.k')::double as k, date_trunc('day', ts) as s, "
+    f"ts < timestamp '{views.EVENT_CUT}' as ref from events), {_DRIFT_CELLS}, "
+    "p as (select col, method, bin, count(*) / sum(count(*)) over (partition by col) as p from cells where ref group by 1, 2, 3), "
+    f"n as (select s, col, method, bin, count(*) as n from cells where s + interval 1 day <= {CLOSED} group by 1, 2, 3, 4), "
+    "win as (select distinct s, col, method from n), "
+    "every_bin as (select s, col, method, bin from win join p using (col, method) union select s, col, method, bin from n), "
+    "f as (select s, col, method, coalesce(p, 0) as p, coalesce(n, 0) as n, sum(coalesce(n, 0)) over (partition by s, col) as t "
+    "from every_bin left join p using (col, method, bin) left join n using (s, col, method, bin)), "
+    "q as (select s, col, method, n, p, n / t as q, greatest(p, 1e-4) as fp, greatest(n / t, 1e-4) as fq from f), "
+    "r as (select s, col, method, sum(n)::bigint as n, round(case when method = 'psi' then sum((fp - fq) * ln(fp / fq)) else "
+    "sqrt(greatest(sum(case when p > 0 then p * log2(p / ((p + q) / 2)) / 2 else 0 end + "
+    "case when q > 0 then q * log2(q / ((p + q) / 2)) / 2 else 0 end), 0)) end, 6) as statistic from q group by 1, 2, 3), "
+    "dr as (select *, statistic >= case when method = 'psi' then 0.2 else 0.1 end as drifted from r) ")
+
+
+def window_columns(spark, d):
+    """Drift of value, k and event_type in every closed day against the days before the cut."""
+    with_k = lambda df: df.select("event_id", "ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"), "event_type")
+    before = with_k(table(spark, d, "events").filter(F.col("ts") < F.lit(views.EVENT_CUT).cast("timestamp_ntz")))
+    edges = window_drift.decile_edges(before, ["value", "k"])
+    bins = window_drift.window_bins(with_k(event_stream(spark, d)), edges, ["event_type"])
+    with window_drift.rocks_state(spark):
+        counted = jobs.drain_to_parquet(bins, "bins")
+    return window_drift.window_drift(counted, window_drift.reference_shares(before, edges, ["event_type"]))
+
+
+register("stream_window_drift", f"{_WINDOW_DRIFT_SQL} select strftime(s, {_STAMP}) as start, col, method, n, statistic, drifted from dr")(
+    lambda spark, d: _stamped(window_columns(spark, d), "start"))
+register("stream_window_decision", f"{_WINDOW_DRIFT_SQL} select strftime(s, {_STAMP}) as start, "
+         "count(*) filter (where drifted) as n_drifted_columns, count(*) as n_columns, "
+         "count(*) filter (where drifted) / count(*) >= 0.5 as drift_detected from dr group by s")(
+    lambda spark, d: _stamped(window_drift.window_decisions(window_columns(spark, d)), "start"))
+
+
 @register("stream_dedup", "select event_id, event_type from events")
 def _(spark, d):
     twice = event_stream(spark, d).unionByName(event_stream(spark, d))
