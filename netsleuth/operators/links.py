@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from netsleuth.functions.columns import dot, hash_hex, sigmoid
 from netsleuth.operators.graph import dense_index
 from netsleuth.operators.metrics import ranking_metrics
-from netsleuth.operators.ranking import bucket_rank, hash_prefix, spread_lookup
+from netsleuth.operators.ranking import sketch_rank, spread_lookup
 from netsleuth.session import durable
 
 
@@ -88,8 +88,9 @@ def find_group(indexed_nodes: DataFrame, text: str) -> DataFrame:
 def rank_techniques(nodes: DataFrame, z: DataFrame, known: DataFrame, group: str | None, vector: str = "z") -> DataFrame:
     """Every technique by its score for one group, best first, with a known flag.
 
-    Equal scores follow md5 order of the id, so a large tie spreads over tasks. A group
-    that has no vector, or None, gives no rows.
+    Equal scores follow md5 order of the id, so a large tie spreads over tasks; buckets of a
+    quantile sketch keep the table of bucket sizes short. A group that has no vector, or None,
+    gives no rows.
     """
     wanted = z.filter(F.col("id") == group).agg(F.first(vector)).scalar()
     techniques = nodes.filter(F.col("kind") == "technique").select("id", "name", "ext_id")
@@ -100,8 +101,8 @@ def rank_techniques(nodes: DataFrame, z: DataFrame, known: DataFrame, group: str
         .withColumn("score", F.round(sigmoid(dot(F.col("_v"), F.col("_w"))), 4))
         .join(documented, F.col("id") == F.col("_known"), "left")
         .select("id", F.col("ext_id").alias("technique_id"), "name", "score", F.col("_known").isNotNull().alias("known")))
-    h = hash_hex(0, F.col("id"))
-    return bucket_rank(scored, F.struct((-F.col("score")).alias("s"), hash_prefix(scored, h).alias("p")), [h, F.col("id")])
+    scored = durable(scored.withColumn("_down", -F.col("score")))
+    return sketch_rank(scored, "_down", hash_hex(0, F.col("id")), [F.col("id")]).drop("_down")
 
 
 def recovered_at_known(ranked: DataFrame) -> DataFrame:

@@ -63,6 +63,34 @@ def hash_rank(df: DataFrame, key: list[str], seed=0, by: list[str] = (), out: st
     return bucket_rank(df, hash_prefix(df, h), [h, *[F.col(k) for k in key]], by, out)
 
 
+def sketch_buckets(df: DataFrame, value: str, hex_hash: Column, out: str = "_bucket") -> DataFrame:
+    """Add ``out``: an ordered bucket by (``value``, ``hex_hash``), at most 16 for each reduce task.
+
+    Cuts come from a quantile sketch. A value that takes k places among the cuts is a
+    heavy tie and gets k buckets of its own, by leading hash bits; all other values share the
+    bucket between two cuts. So both the number of buckets and the rows of one are bounded,
+    however the values repeat. Null values go to the first bucket.
+    """
+    parts = 8 * shuffle_width(df.sparkSession)
+    probs = [i / parts for i in range(1, parts)]
+    cuts = df.agg(F.percentile_approx(value, probs, F.lit(max(10_000, 10 * parts))).alias("_cuts")).select("_cuts").scalar()
+    placed = place_among(df.withColumn("_cuts", cuts), value, "_cuts", "_below", parts, right=False)
+    placed = place_among(placed, value, "_cuts", "_upto", parts)
+    below, upto = F.col("_below"), F.col("_upto")
+    bits = F.conv(F.substring(hex_hash, 1, 8), 16, 10).cast("bigint")
+    part = F.when(upto - below > 1, F.shiftright(bits * (upto - below), 32)).otherwise(F.lit(0)).cast("int")
+    return placed.withColumn(out, F.struct(below.alias("b"), upto.alias("u"), part.alias("p"))).drop("_cuts", "_below", "_upto")
+
+
+def sketch_rank(df: DataFrame, value: str, hex_hash: Column, ties: list[Column], out: str = "rank") -> DataFrame:
+    """Rank rows 1..n by (``value``, ``hex_hash``, ``ties``) over :func:`sketch_buckets`.
+
+    ``df`` is read three times, so a frame that is dear to compute should be a table.
+    """
+    ranked = bucket_rank(sketch_buckets(df, value, hex_hash), F.col("_bucket"), [F.col(value), hex_hash, *ties], out=out)
+    return ranked.drop("_bucket")
+
+
 def place_among(df: DataFrame, value: str, cuts: str, out: str, max_cuts: int, right: bool = True) -> DataFrame:
     """Add ``out``: how many sorted ``cuts`` lie at or below ``value`` (below it if not ``right``).
 

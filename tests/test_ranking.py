@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from netsleuth.operators import drift, metrics
+from netsleuth.operators import drift, metrics, ranking
 from netsleuth.operators.ranking import exact_quantiles, hash_rank, place_among, prefix_sums, spread_lookup
 
 
@@ -120,3 +120,20 @@ def test_drift_decision_is_inclusive(spark):
 def test_js_distance_bounds(spark):
     df = spark.createDataFrame([("ref", "c", "a"), ("cur", "c", "b")], "side string, col string, category string")
     assert drift.drift_js(df).first()["statistic"] == 1.0
+
+
+@pytest.mark.parametrize("value", ["id % 3", "0", "id", "case when id < 4000 then 7 else id end", "cast(null as double)"])
+def test_sketch_rank_bounds_buckets_and_ties(spark, value):
+    """Few buckets and no large one, whatever repeats; ranks are those of a plain sort."""
+    from netsleuth.functions.columns import hash_hex
+
+    df = spark.range(6000).selectExpr("id", f"cast({value} as double) as v")
+    h = hash_hex(0, F.col("id"))
+    sizes = ranking.sketch_buckets(df, "v", h).groupBy("_bucket").count()
+    n, largest = sizes.agg(F.count(F.lit(1)), F.max("count")).first()
+    assert n <= 16 * 8 and (value.startswith("cast(null") or largest < 6000 / 8)
+    plain = df.withColumn("want", F.row_number().over(Window.orderBy("v", h, "id")))
+    got = ranking.sketch_rank(df, "v", h, [F.col("id")])
+    assert got.columns == ["id", "v", "rank"]
+    assert got.join(plain, "id").filter("rank <> want").count() == 0 and got.count() == 6000
+    assert ranking.sketch_rank(df.limit(0), "v", h, [F.col("id")]).count() == 0
