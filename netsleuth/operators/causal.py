@@ -1,19 +1,19 @@
 """Treatment effects from observational tables.
 
 Two model families: ``strata`` (cell means of discrete confounders) and logistic
-regression from ``pyspark.ml``. Strata estimators need one aggregate of the units
+regression by Newton steps. Strata estimators need one aggregate of the units
 to cells; all else happens on the cell table.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netsleuth.functions.columns import hash_uniform, sigmoid
+from netsleuth.functions.columns import hash_uniform
+from netsleuth.operators.logistic import Logistic, fit
 from netsleuth.operators.ranking import exact_quantiles, hash_prefix, place_among, prefix_sums
+from netsleuth.session import durable
 
 CLIP = (0.02, 0.98)
 
@@ -233,29 +233,23 @@ def balance_report(df: DataFrame, t: str, e: str, covariates: list[str]) -> Data
 
 
 # --- logistic models -------------------------------------------------------
-def _fit_logistic(df: DataFrame, features: list[str], label: str):
-    """Maker of the probability column of a logistic fit with unit ridge penalty on the summed loss."""
-    train = VectorAssembler(inputCols=features, outputCol="_x").transform(
-        df.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("double").alias("_y")))
-    model = LogisticRegression(
-        featuresCol="_x", labelCol="_y", regParam=1.0 / max(1, df.count()), elasticNetParam=0.0,
-        standardization=False, maxIter=1000, tol=1e-8).fit(train)
-    weights = dict(zip(features, (float(w) for w in model.coefficients)))
+def outcome_models(t: str, y: str, confounders: list[str]) -> dict[str, Logistic]:
+    """Propensity and outcome models, the outcome with both arms and for each arm."""
+    return {"e": Logistic(confounders, t), "mu": Logistic([t, *confounders], y),
+            "mu1": Logistic(confounders, y, F.col(t) == 1), "mu0": Logistic(confounders, y, F.col(t) == 0)}
 
-    def probability(**fixed) -> Column:
-        logit = F.lit(float(model.intercept))
-        for name, w in weights.items():
-            logit = logit + fixed.get(name, F.col(name)) * F.lit(w)
-        return sigmoid(logit)
 
-    return probability
+def _fitted(df: DataFrame, t: str, y: str, confounders: list[str], names: list[str]) -> list[Logistic]:
+    models = outcome_models(t, y, confounders)
+    return list(fit(df.select(t, y, *confounders), {n: models[n] for n in names}).values())
 
 
 def logistic_preds(df: DataFrame, t: str, y: str, confounders: list[str]) -> DataFrame:
     """Units with clipped propensity e and both potential-outcome predictions."""
-    e = _fit_logistic(df, confounders, t)
-    mu = _fit_logistic(df, [t, *confounders], y)
-    return df.select("*", clip(e()).alias("e"), mu(**{t: F.lit(1.0)}).alias("mu1"), mu(**{t: F.lit(0.0)}).alias("mu0"))
+    df = durable(df)
+    e, mu = _fitted(df, t, y, confounders, ["e", "mu"])
+    arm = lambda value: mu.probability({t: F.lit(value)})
+    return df.select("*", clip(e.probability()).alias("e"), arm(1.0).alias("mu1"), arm(0.0).alias("mu0"))
 
 
 def logistic_effects(df: DataFrame, t: str, y: str, confounders: list[str]) -> DataFrame:
@@ -271,6 +265,6 @@ def logistic_effects(df: DataFrame, t: str, y: str, confounders: list[str]) -> D
 
 def logistic_cate(df: DataFrame, t: str, y: str, confounders: list[str], out: str = "cate") -> DataFrame:
     """Per-unit effect from one logistic outcome model per arm."""
-    m1 = _fit_logistic(df.filter(F.col(t) == 1), confounders, y)
-    m0 = _fit_logistic(df.filter(F.col(t) == 0), confounders, y)
-    return df.withColumn(out, m1() - m0())
+    df = durable(df)
+    m1, m0 = _fitted(df, t, y, confounders, ["mu1", "mu0"])
+    return df.withColumn(out, m1.probability() - m0.probability())

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netsleuth.operators import causal
+from netsleuth.operators import causal, logistic
 from netsleuth.plans.registry import Family
+from netsleuth.session import durable
 from netsleuth.sources import views
 
 FAMILY = Family()
@@ -137,6 +138,21 @@ register("balance_report", f"with {_E_SQL}, x as (" + " union all ".join(
     lambda spark, d: causal.balance_report(
         causal.propensity(views.study(spark, d), T, Y, STRATA), T, "e", CONFOUNDERS))
 
+_MODELS = {"e": (CONFOUNDERS, "t", "true"), "mu": (["t", *CONFOUNDERS], "y", "true"),
+           "mu1": (CONFOUNDERS, "y", "t = 1"), "mu0": (CONFOUNDERS, "y", "t = 0")}
+_MOMENTS_SQL = " union all ".join(
+    f"select '{m}' as model, '{c}' as coefficient, count(*) as n, round(sum({label} * {'1' if c == 'intercept' else c}::double), 4) as moment, "
+    f"true as settled from study where {rows}" for m, (names, label, rows) in _MODELS.items() for c in ["intercept", *names])
+
+
+# the optimum of a ridge fit is where its penalised gradient vanishes, so that is checked for every coefficient
+@register("logistic_gradients", f"with {STUDY_SQL} {_MOMENTS_SQL}")
+def _(spark, d):
+    study = durable(views.study(spark, d).select(T, Y, *CONFOUNDERS))
+    found = logistic.gradients(study, logistic.fit(study, causal.outcome_models(T, Y, CONFOUNDERS)))
+    return found.select("model", "coefficient", "n", F.round("moment", 4).alias("moment"), (F.abs("gradient") <= 1e-6).alias("settled"))
+
+
 # iterative fits have no SQL twin; their recovery of a known effect is tested
 register("ate_logistic")(lambda spark, d: causal.logistic_effects(views.study(spark, d), T, Y, CONFOUNDERS))
 register("cate_logistic")(

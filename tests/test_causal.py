@@ -1,9 +1,11 @@
 """Recovery of a known effect, refutations and invariants."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from netsleuth.operators import causal
+from netsleuth.operators import causal, logistic
+from netsleuth.operators.logistic import Logistic
 
 X = ["risk", "tenure", "prior"]
 
@@ -79,3 +81,36 @@ def test_placebo_takes_only_zero_and_one(spark):
     units = spark.createDataFrame([(i, i % 3, float(i), float(i % 5)) for i in range(30)], "u long, t int, y double, c double")
     with pytest.raises(ValueError, match="other than 0 and 1"):
         causal.placebo_effects(units, "u", "t", "y", ["c"], 2)
+
+
+def test_logistic_models_settle_together(spark):
+    """Gradients vanish for wide and constant features, unequal arms, missing values and one-sided labels."""
+    rng = np.random.default_rng(5)
+    n = 4000
+    a, b = rng.normal(size=n), rng.normal(size=n) * 300 + 1000
+    y = (rng.uniform(size=n) < 1 / (1 + np.exp(1 - a - (b - 1000) / 300))).astype(int)
+    rows = [(float(u), float(v), 2.0, int(w), int(i % 10 == 0)) for i, (u, v, w) in enumerate(zip(a, b, y))]
+    rows += [(None, 1.0, 2.0, 1, 0), (1.0, 1.0, 2.0, None, 1)]
+    df = spark.createDataFrame(rows, "a double, b double, k double, y int, t int")
+    one = lambda: F.col("t") == 1
+    models = logistic.fit(df, {
+        "all": Logistic(["a", "b", "k"], "y"), "arm": Logistic(["a", "b"], "y", one()),
+        "none": Logistic(["a"], "y", F.lit(False)), "ones": Logistic(["a"], "y", F.col("y") == 1)})
+    found = {(r["model"], r["coefficient"]): r for r in logistic.gradients(df, models).collect()}
+    assert all(abs(r["gradient"]) <= 1.01e-6 for r in found.values()) and len(found) == 11
+    assert found["all", "a"]["n"] == n and found["arm", "a"]["n"] == n // 10 and found["none", "a"]["n"] == 0
+    assert abs(models["all"].weights[1] - 1) < 0.2 and abs(models["all"].weights[2] * 300 - 1) < 0.2
+    assert not models["none"].weights.any() and models["ones"].weights[0] > 5
+
+
+def test_logistic_fit_equals_a_plain_newton(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(500, 2))
+    y = (rng.uniform(size=500) < 1 / (1 + np.exp(-x[:, 0]))).astype(int)
+    df = spark.createDataFrame([(float(u), float(v), int(w)) for (u, v), w in zip(x, y)], "a double, b double, y int")
+    got = logistic.fit(df, {"m": Logistic(["a", "b"], "y")})["m"].weights
+    design, want, pull = np.c_[np.ones(500), x], np.zeros(3), np.array([0.0, 1.0, 1.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-design @ want))
+        want -= np.linalg.solve((design.T * (p * (1 - p))) @ design + np.diag(pull), design.T @ (p - y) + pull * want)
+    assert np.allclose(got, want, atol=1e-8)
