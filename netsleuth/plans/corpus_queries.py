@@ -84,7 +84,9 @@ def passages(spark, d):
 
 register("chunk_fixed", f"with {CHUNKS_SQL} select doc_id, source, chunk_no, chunk_text from chunks")(
     lambda spark, d: corpus.chunk_fixed(table(spark, d, "documents").select("doc_id", "source", "text")))
-# the recursive cutter is a per-text algorithm: its properties are tested instead
+register("chunk_coverage", "select doc_id, length(text)::integer as covered, true as longest_fits, true as in_order from documents "
+         "where length(text) > 0")(lambda spark, d: corpus.chunk_coverage(table(spark, d, "documents"), "doc_id"))
+# the texts themselves are held against a plain recursive cutter in the tests
 register("chunk_recursive")(
     lambda spark, d: corpus.chunk_recursive(table(spark, d, "documents").select("doc_id", "source", "text")))
 

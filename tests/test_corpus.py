@@ -1,5 +1,7 @@
 """Documents, chunks, retrieval, vectors and run scores on small fixtures."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -290,3 +292,41 @@ def test_text_embedding_is_near_the_best_subspace(spark):
     assert narrow.dim == 2 and narrow.captured == pytest.approx(1.0)
     none = text_embedding.embed_text(weights.limit(0), dim=3)
     assert none.dim == 0 and none.captured == 0.0 and none.texts.count() == 0
+
+
+def plain_chunks(body, size, overlap, separators):
+    """Recursive cutter of one text, for comparison."""
+    def pieces_of(part, seps):
+        if len(part) <= size:
+            return [part]
+        level, sep = next(((i, s) for i, s in enumerate(seps) if s and s in part), (len(seps), ""))
+        if sep == "":
+            return list(part)
+        head, *rest = part.split(sep)
+        return [x for p in [head, *[sep + r for r in rest]] if p for x in pieces_of(p, seps[level + 1:])]
+
+    chunks, held = [], []
+    for piece in pieces_of(body, separators):
+        if held and len("".join(held)) + len(piece) > size:
+            chunks.append("".join(held).strip())
+            while held and (len("".join(held)) > overlap or len("".join(held)) + len(piece) > size):
+                held.pop(0)
+        held.append(piece)
+    return [c for c in [*chunks, "".join(held).strip()] if c]
+
+
+def test_recursive_chunks_equal_a_plain_cutter(spark):
+    rng = random.Random(4)
+    marks = ["\n\n", "\n", ". ", " ", "a", "bb", "\u4e00", "\U0001f600", "\u2003", "word "]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(1, 160))) for _ in range(300)] + ["", None, " ", "\n" * 70, "x" * 95]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, text string, chunk_note string")
+    for size, overlap, seps in [(20, 6, corpus.SEPARATORS), (7, 7, corpus.SEPARATORS), (12, 0, [". ", " "]), (30, 12, ["\n", ""])]:
+        got = {}
+        for r in corpus.chunk_recursive(df, size=size, overlap=overlap, separators=seps).orderBy("i", "chunk_no").collect():
+            assert r["chunk_no"] == len(got.setdefault(r["i"], []))
+            got[r["i"]].append(r["chunk_text"])
+        assert all(got.get(i, []) == plain_chunks(t or "", size, overlap, seps) for i, t in enumerate(texts)), (size, overlap)
+    held = corpus.chunk_coverage(df, "i", size=20, overlap=6).collect()
+    assert len(held) == sum(bool(t) for t in texts)
+    assert all(r["covered"] == len(texts[r["i"]]) and r["longest_fits"] and r["in_order"] for r in held)
+    assert corpus.chunk_recursive(df.limit(0)).columns == ["i", "chunk_note", "chunk_no", "chunk_text"]
