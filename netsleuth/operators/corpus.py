@@ -97,9 +97,12 @@ def _packed(lengths: str, size: int, overlap: int) -> Column:
     """
     def kept(at, room):
         # the last pieces before ``at``, from the end, while they fit the room; a piece has a character at least
-        window = F.least(at, F.lit(overlap))
-        tail = F.reverse(F.slice(lengths, at - window + 1, window))
         nothing = F.struct(F.lit(0).alias("n"), F.lit(0).alias("len"), F.lit(False).alias("full"))
+        if overlap == 0:
+            return nothing
+        # items are looked up one by one, since a slice would copy the whole array each time
+        window = F.greatest(F.lit(1), F.least(at, F.lit(overlap)))
+        tail = F.transform(F.sequence(at - 1, at - window, F.lit(-1)), lambda i: F.get(lengths, i))
 
         def take(held, n):
             full = held["full"] | (held["len"] + n > room)
@@ -140,7 +143,8 @@ def chunk_spans(df: DataFrame, text: str = "text", size: int = CHUNK_SIZE, overl
     # each step reads the one before more than once, which keeps the optimizer from repeating it
     cut = cut.select(*carried, "_pieces", F.transform("_pieces", F.length).alias("_lengths"))
     cut = cut.select(*carried, "_pieces", F.when(F.size("_lengths") > 0, _packed("_lengths", size, overlap)).alias("_at"))
-    said = lambda at: F.btrim(F.array_join(F.slice("_pieces", at["first"] + 1, at["n"]), ""), F.lit(WHITE_SPACE))
+    held = lambda at: F.transform(F.sequence(at["first"], at["first"] + at["n"] - 1), lambda i: F.get("_pieces", i))
+    said = lambda at: F.btrim(F.array_join(held(at), ""), F.lit(WHITE_SPACE))
     return cut.select(*carried, F.transform("_at", lambda at: F.struct(
         at["start"].alias("start"), at["length"].alias("length"), said(at).alias("chunk_text"))).alias("_spans"))
 
