@@ -7,11 +7,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from netsleuth.functions.schema import LABEL, MODEL_FEATURES, NUMERIC_FEATURES
-from netsleuth.operators import boosting, cleaning, drift, registry, training
+from netsleuth.operators import boosting, cleaning, drift, gate, registry, training
 from netsleuth.plans import flow_queries as fq
 from netsleuth.plans import jobs
 from netsleuth.plans.registry import Family
 from netsleuth.sources import views
+from netsleuth.streaming.jobs import new_run_dir
 
 FAMILY = Family()
 register = FAMILY.register
@@ -141,3 +142,18 @@ register("nids_job", _steps_sql(fq.LONG_SQL))(
     lambda spark, d: jobs.job_steps(drift.drift_decision(drift.drift_wasserstein(fq.drift_rows(spark, d)))))
 register("nids_job_drifted", _steps_sql(fq.PERTURBED_SQL))(
     lambda spark, d: jobs.job_steps(drift.drift_decision(drift.drift_wasserstein(fq.perturbed_rows(spark, d)))))
+
+
+@register("batch_landing", f"with {fq.FLOWS_SQL} select strftime(ts, '%Y') as batch, case when strftime(ts, '%Y') = '1995' then 'rejected' "
+          "else 'bronze' end as state, count(*) as n from flows group by 1, 2")
+def _(spark, d):
+    """A batch per year, the labels of 1995 spoilt, landed by two runs."""
+    folder = new_run_dir(spark, "batches")
+    year = F.date_format("ts", "yyyy")
+    spoilt = F.when(year == "1995", 7).otherwise(F.col(LABEL))
+    arrived = views.flows(spark, d).withColumns({"batch": year, LABEL: spoilt})
+    arrived.write.partitionBy("batch").parquet(f"{folder}/inbox")
+    schema = arrived.drop("batch").schema
+    for _ in range(2):
+        jobs.land_batches(spark, f"{folder}/inbox", folder, schema, gate.flow_suite())
+    return jobs.landed(spark, folder, schema).groupBy("batch", "state").agg(F.count(F.lit(1)).alias("n"))

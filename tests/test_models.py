@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from netsleuth.functions.schema import FLOW_COLUMNS, MODEL_FEATURES
+from netsleuth.functions.schema import FLOW_COLUMNS, MODEL_FEATURES, NUMERIC_FEATURES
 from netsleuth.operators import boosting, cleaning, gate, metrics, registry, training
 from netsleuth.plans import jobs
 
@@ -132,3 +132,25 @@ def test_model_queries_run_the_operators_defaults(spark, monkeypatch):
         with pytest.raises(StopIteration):
             model_queries.FAMILY.queries[query](spark, "/root/testdata/sf0.001")
     assert asked == [("train_detector", {}), ("search_params", {}), ("train_detector", {})]
+
+
+def test_batch_job_decides_once_per_batch(spark, flows, tmp_path):
+    """A clean batch skips, a shifted one retrains, a failing one publishes nothing, a rerun lands nothing twice."""
+    inbox, folder = str(tmp_path / "inbox"), str(tmp_path / "job")
+    put = lambda df, name: df.write.parquet(f"{inbox}/batch={name}")
+    state = lambda: {(r["state"], r["batch"]): r["count"] for r in jobs.landed(
+        spark, folder, flows.schema).groupBy("state", "batch").count().collect()}
+    run = lambda: {r["batch"]: (r["n_rows"], r["decision"]) for r in jobs.batch_job(
+        spark, inbox, folder, flows.schema, params={"maxIter": 2, "maxDepth": 2}).collect()}
+    assert state() == {}
+    put(flows.filter("flow_id < 1000"), "a")
+    put(flows.filter("flow_id >= 1000"), "b")
+    assert run() == {"a": (1000, "retrain_features"), "b": (500, "skip_retrain")}
+    put(flows.filter("flow_id < 400").withColumns({c: F.col(c) * 3 + 100 for c in NUMERIC_FEATURES if c != "PROTOCOL"}), "c")
+    put(flows.withColumn("Label", F.lit(7)), "d")
+    second = run()
+    assert second == {"a": (1000, "retrain_features"), "b": (500, "skip_retrain"), "c": (400, "retrain_features")}
+    assert run() == second
+    assert state() == {("bronze", "a"): 1000, ("bronze", "b"): 500, ("bronze", "c"): 400, ("rejected", "d"): 1500}
+    gold = sum(jobs.gold_part(spark, folder, part).count() for part in ("train", "test"))
+    assert gold == 1400 and jobs.load_serving_model(spark, folder)[1]["version"] == 2
