@@ -1,9 +1,10 @@
 """All registered queries and their SQL twins."""
 
-from netsleuth.plans import causal_queries, corpus_queries, flow_queries, graph_queries, model_queries, stream_queries
+from netsleuth.plans import (causal_queries, corpus_queries, flow_queries, graph_queries, io_queries, model_queries,
+                             stream_queries)
 
 FAMILIES = [flow_queries.FAMILY, causal_queries.FAMILY, graph_queries.FAMILY, corpus_queries.FAMILY,
-            model_queries.FAMILY, stream_queries.FAMILY]
+            model_queries.FAMILY, stream_queries.FAMILY, io_queries.FAMILY]
 
 
 def queries():
