@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import hash_uniform
 from netsleuth.operators.logistic import Logistic, fit
-from netsleuth.operators.ranking import exact_quantiles, hash_prefix, place_among, prefix_sums
+from netsleuth.operators.ranking import exact_quantiles, hash_prefix, place_among, prefix_sums, spread_lookup
 from netsleuth.session import durable
 
 CLIP = (0.02, 0.98)
@@ -66,9 +66,25 @@ def strata_effects(df: DataFrame, t: str, y: str, strata: list[str]) -> DataFram
         F.sum("borrowed").alias("borrowed_units"))
 
 
+#: Cells up to which they are sent to every task.
+SENT_CELLS = 200_000
+
+
+def _cell_key(df: DataFrame, strata: list[str]) -> Column:
+    """One string per cell; nulls are kept and both zeros are the same."""
+    kinds = dict(df.dtypes)
+    parts = [F.col(s) + F.lit(0).cast(kinds[s]) if kinds[s] in ("double", "float") else F.col(s) for s in strata]
+    return F.to_json(F.struct(*[p.alias(f"s{i}") for i, p in enumerate(parts)]), {"ignoreNullFields": "false"})
+
+
 def _attach_cells(df: DataFrame, cells: DataFrame, strata: list[str], values: list[str]) -> DataFrame:
-    """Cell values on every unit; the optimizer broadcasts the cells when they are few."""
-    right = cells.select(*[F.col(s).alias("_c_" + s) for s in strata], *values)
+    """Cell values on every unit. Counted cells within the bound are broadcast, so no unit
+    moves; beyond it units meet them by a lookup that spreads the fullest cells."""
+    cells = durable(cells.select(*strata, *values))
+    if cells.count() > SENT_CELLS:
+        keyed = cells.select(_cell_key(cells, strata).alias("_cell"), *values)
+        return spread_lookup(df.withColumn("_cell", _cell_key(df, strata)), keyed, "_cell", values).drop("_cell")
+    right = F.broadcast(cells.select(*[F.col(s).alias("_c_" + s) for s in strata], *values))
     cond = F.lit(True)
     for s in strata:
         cond = cond & df[s].eqNullSafe(right["_c_" + s])

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from netsleuth.functions.columns import dot, hash_hex, sigmoid
 from netsleuth.operators.graph import dense_index
+from netsleuth.operators.logistic import Logistic, fit
 from netsleuth.operators.metrics import ranking_metrics
-from netsleuth.operators.ranking import sketch_rank, spread_lookup
+from netsleuth.operators.ranking import sketch_rank, spread_join, spread_lookup
 from netsleuth.session import durable
 
 
@@ -57,7 +58,9 @@ def link_heuristics(pairs: DataFrame, message: DataFrame) -> DataFrame:
         F.when(small_first, F.col("dst")).otherwise(F.col("src")).alias("other"))
     reach = edges.select(F.col("src").alias("pivot"), F.col("dst").alias("via"))
     probe = edges.select(F.col("src").alias("other"), F.col("dst").alias("via"))
-    shared = durable(expanded.join(reach, "pivot").join(probe, ["other", "via"], "left_semi"))
+    # a hub's neighbours and its pairs are dealt out
+    met = spread_join(expanded, reach, "pivot", ["a", "b"], ["via"], degree_of("pivot", "n"))
+    shared = durable(met.join(probe, ["other", "via"], "left_semi"))
     shared = spread_lookup(shared.select("a", "b", "via"), degree_of("via", "_dv"), "via", ["_dv"])
     scores = shared.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("cn"),
@@ -79,6 +82,34 @@ def evaluate_links(positives: DataFrame, negatives: DataFrame, score: str = "sco
     return ranking_metrics(labelled)
 
 
+#: What a trained link score reads of a pair, each on a log scale.
+SIGNALS = ["common_neighbours", "jaccard", "adamic_adar", "preferential_attachment"]
+
+
+def link_signals(pairs: DataFrame, message: DataFrame) -> DataFrame:
+    """``pairs`` (src, dst, ...) with the logs of their heuristics on the message graph."""
+    found = link_heuristics(pairs, message).select(
+        F.col("src").alias("_s"), F.col("dst").alias("_d"), *[F.log1p(F.col(c).cast("double")).alias(c) for c in SIGNALS])
+    return pairs.join(found, (F.col("src") == F.col("_s")) & (F.col("dst") == F.col("_d"))).drop("_s", "_d")
+
+
+def train_link_score(positives: DataFrame, negatives: DataFrame, message: DataFrame) -> tuple[Logistic, DataFrame]:
+    """A logistic score of the signals and the labelled pairs it was fitted on.
+
+    Both pair tables lie outside the message graph, as held-out edges do, so the signals of
+    an edge do not come from the edge itself. Pairs in both tables count as positive.
+    """
+    pairs = positives.select("src", "dst").distinct().withColumn("y", F.lit(1)).unionByName(
+        negatives.select("src", "dst").distinct().join(positives, ["src", "dst"], "left_anti").withColumn("y", F.lit(0)))
+    labelled = durable(link_signals(durable(pairs), message))
+    return fit(labelled, {"link": Logistic(SIGNALS, "y")})["link"], labelled
+
+
+def score_links(pairs: DataFrame, message: DataFrame, model: Logistic) -> DataFrame:
+    """``pairs`` with the chance that the trained score gives them."""
+    return link_signals(pairs, message).withColumn("score", model.probability()).drop(*SIGNALS)
+
+
 def find_group(indexed_nodes: DataFrame, text: str) -> DataFrame:
     """Groups whose name holds ``text``, case aside, by index."""
     return indexed_nodes.filter((F.col("kind") == "group") & F.lower("name").contains(text.lower())).select(
@@ -94,15 +125,31 @@ def rank_techniques(nodes: DataFrame, z: DataFrame, known: DataFrame, group: str
     """
     wanted = z.filter(F.col("id") == group).agg(F.first(vector)).scalar()
     techniques = nodes.filter(F.col("kind") == "technique").select("id", "name", "ext_id")
-    documented = known.filter(F.col("src") == group).select(F.col("dst").alias("_known")).distinct()
     vectors = z.select(F.col("id").alias("_z"), F.col(vector).alias("_v"))
     scored = (
         techniques.join(vectors, F.col("id") == F.col("_z")).withColumn("_w", wanted).filter(F.col("_w").isNotNull())
-        .withColumn("score", F.round(sigmoid(dot(F.col("_v"), F.col("_w"))), 4))
-        .join(documented, F.col("id") == F.col("_known"), "left")
-        .select("id", F.col("ext_id").alias("technique_id"), "name", "score", F.col("_known").isNotNull().alias("known")))
-    scored = durable(scored.withColumn("_down", -F.col("score")))
-    return sketch_rank(scored, "_down", hash_hex(0, F.col("id")), [F.col("id")]).drop("_down")
+        .withColumn("score", F.round(sigmoid(dot(F.col("_v"), F.col("_w"))), 4)))
+    return _ranked(scored, known, group)
+
+
+def rank_by_link_score(nodes: DataFrame, message: DataFrame, known: DataFrame, group: str | None, model: Logistic) -> DataFrame:
+    """The same ranking by a trained score; every technique counts, linked or not.
+
+    A group that the nodes lack, or None, gives no rows.
+    """
+    there = nodes.filter((F.col("kind") == "group") & (F.col("id") == group)).select(F.max("id").alias("src"))
+    techniques = nodes.filter(F.col("kind") == "technique").select("id", "name", "ext_id")
+    pairs = techniques.withColumns({"src": there.scalar(), "dst": F.col("id")}).filter(F.col("src").isNotNull())
+    scored = score_links(durable(pairs), message, model).withColumn("score", F.round("score", 4))
+    return _ranked(scored, known, group)
+
+
+def _ranked(scored: DataFrame, known: DataFrame, group: str | None) -> DataFrame:
+    documented = known.filter(F.col("src") == group).select(F.col("dst").alias("_known")).distinct()
+    flagged = scored.join(documented, F.col("id") == F.col("_known"), "left").select(
+        "id", F.col("ext_id").alias("technique_id"), "name", "score", F.col("_known").isNotNull().alias("known"))
+    flagged = durable(flagged.withColumn("_down", -F.col("score")))
+    return sketch_rank(flagged, "_down", hash_hex(0, F.col("id")), [F.col("id")]).drop("_down")
 
 
 def recovered_at_known(ranked: DataFrame) -> DataFrame:

@@ -199,3 +199,35 @@ def spread_lookup(facts: DataFrame, dim: DataFrame, key: str, values: list[str],
     return joined.select(
         *[facts[c] for c in facts.columns],
         *[F.when(matched, F.col("_hot_" + v)).otherwise(F.col("_cold_" + v)).alias(v) for v in values])
+
+
+SPLITS = 16
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, left_by: list[str], right_by: list[str],
+                right_counts: DataFrame | None = None, splits: int = SPLITS) -> DataFrame:
+    """Inner join on ``key`` when single keys may hold much of either side; ``key`` appears once.
+
+    A key with more than a fixed share of a side's rows has them dealt out into ``splits``
+    by a hash of that side's columns, and the other side's rows of it are sent to each. At
+    most as many keys as the shares allow can pass, so their table is broadcast. A key hot
+    on both sides meets in ``splits`` squared parts. ``right_counts`` is (key, n), if known.
+    """
+    shares = 4 * shuffle_width(left.sparkSession)
+
+    def heavy(counts, name):
+        total = counts.agg(F.sum("n")).scalar()
+        return counts.filter(F.col("n") * shares > total).select(F.col(key), F.lit(splits).alias(name))
+
+    count = lambda df: df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col(key).isNotNull())
+    right_counts = count(right) if right_counts is None else right_counts
+    hot = durable(heavy(count(left), "_lp").join(heavy(right_counts, "_rp"), key, "full"))
+
+    def dealt(df, by, own, other, mine, theirs):
+        sided = df.join(F.broadcast(hot), key, "left").withColumn(
+            mine, F.pmod(F.xxhash64(*by), F.coalesce(own, F.lit(1))).cast("int"))
+        return sided.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))).drop("_lp", "_rp")
+
+    sides = (dealt(left, left_by, F.col("_lp"), F.col("_rp"), "_a", "_b"),
+             dealt(right, right_by, F.col("_rp"), F.col("_lp"), "_b", "_a"))
+    return sides[0].join(sides[1], [key, "_a", "_b"]).drop("_a", "_b")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netsleuth.functions.columns import hash_uniform
-from netsleuth.operators import graph, links
+from netsleuth.functions.columns import hash_long, hash_uniform
+from netsleuth.operators import graph, links, logistic
 from netsleuth.operators.embeddings import centroids
-from netsleuth.plans.flow_queries import _RANKS
+from netsleuth.plans.flow_queries import _RANKS, md5_long
 from netsleuth.plans.registry import Family
+from netsleuth.session import durable
 from netsleuth.sources import views
 from netsleuth.sources.tables import table
 
@@ -203,6 +204,51 @@ def _(spark, d):
     return links.evaluate_links(scored.filter("y = 1"), scored.filter("y = 0"))
 
 
+_FIT_SQL = (
+    f"{GRAPH_SQL}, {SPLIT_SQL}, {MESSAGE_SQL}, " + NEGATIVES_SQL.replace(N_HELD, "(select count(*) from split where part <> 'train')")
+    + ", pairs as (select src, dst, 1 as y from split where part = 'val' union all select src, dst, 0 from negatives "
+    f"where {md5_long(1, "src || '|' || dst")} % 2 = 0), {HEUR_SQL}")
+
+
+def trained_links(spark, d):
+    """A link score fitted on validation edges and half of the negatives, its pairs, and what is left to judge it by."""
+    linked = edges(spark, d)
+    split = graph.target_split(linked)
+    around = durable(graph.message_edges(linked, split))
+    part = lambda name: split.filter(F.col("part") == name).select("src", "dst")
+    drawn = graph.sample_negatives(nodes(spark, d), linked.filter(F.col("rel") == graph.TARGET), split.filter("part <> 'train'").count())
+    fitting = hash_long(1, F.concat_ws("|", "src", "dst")) % 2 == 0
+    model, labelled = links.train_link_score(part("val"), drawn.filter(fitting), around)
+    judged = part("test").withColumn("y", F.lit(1)).unionByName(drawn.filter(~fitting).withColumn("y", F.lit(0)))
+    return model, labelled, judged, linked, around
+
+
+@register("link_score_fit", f"with {_FIT_SQL} " + " union all ".join(
+    f"select '{c}' as coefficient, count(*) as n, round(sum(y * {'1' if c == 'intercept' else f'ln(1 + {c}::double)'}), 4)::double as moment, "
+    "true as settled from heur" for c in ["intercept", *links.SIGNALS]))
+def _(spark, d):
+    """The fit by coefficient; at its optimum the penalised gradient vanishes."""
+    model, labelled, *_ = trained_links(spark, d)
+    found = logistic.gradients(labelled, {"link": model})
+    return found.select("coefficient", "n", F.round("moment", 4).alias("moment"), (F.abs("gradient") <= 1e-6).alias("settled"))
+
+
+# the score comes from an iterative fit: tested on planted blocks instead of SQL
+@register("evaluate_link_score")
+def _(spark, d):
+    model, _, judged, _, around = trained_links(spark, d)
+    scored = durable(links.score_links(durable(judged), around, model))
+    return links.evaluate_links(scored.filter("y = 1"), scored.filter("y = 0"))
+
+
+@register("rank_by_link_score")
+def _(spark, d):
+    model, _, _, linked, around = trained_links(spark, d)
+    group = links.find_group(graph.dense_index(nodes(spark, d)), GROUP_TEXT).first()
+    return links.rank_by_link_score(
+        nodes(spark, d), around, linked.filter(F.col("rel") == graph.TARGET), group and group["id"], model)
+
+
 _FOUND = f"indexed as (select *, {INDEX_SQL.format(part='')} as idx from nodes), found as (select idx, id, name from indexed where kind = 'group' and contains(lower(name), '{GROUP_TEXT.lower()}'))"
 register("find_group", f"with {NODES_SQL}, {_FOUND} select * from found")(
     lambda spark, d: links.find_group(graph.dense_index(nodes(spark, d)), GROUP_TEXT))

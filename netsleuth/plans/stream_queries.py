@@ -53,10 +53,10 @@ def event_rules():
           "'expect_column_values_to_be_in_set:event_type' end) as failed_rules from events")
 def _(spark, d):
     folder = jobs.new_run_dir(spark, "gate")
-    jobs.drain_batches(event_stream(spark, d), jobs.gate_batches(event_rules(), folder), folder)
-    good = spark.read.parquet(f"{folder}/good").select("event_id", F.lit("").alias("failed_rules"))
-    bad = spark.read.parquet(f"{folder}/bad").select("event_id", F.array_join("failed_rules", ", ").alias("failed_rules"))
-    return good.unionByName(bad)
+    events = event_stream(spark, d)
+    jobs.drain_batches(events, jobs.gate_batches(event_rules(), folder), folder)
+    good, bad = (jobs.gated_rows(spark, folder, events.schema, verdict) for verdict in ("good", "bad"))
+    return good.unionByName(bad).select("event_id", F.array_join("failed_rules", ", ").alias("failed_rules"))
 
 
 def _window_sql(windows, source):

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from netsleuth.operators import gate
 from netsleuth.operators.drift import JS_BAR, js_distance
@@ -48,16 +49,24 @@ def drain_batches(df: DataFrame, write, folder: str) -> None:
 
 
 def gate_batches(rules: list[Rule], folder: str):
-    """Writer of good and bad rows; a replayed batch overwrites its own folder."""
+    """Writer of good and bad rows in one pass; a replayed batch overwrites its own folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = gate.quarantine(batch, rules)
-        good.write.mode("overwrite").parquet(f"{folder}/good/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{folder}/bad/batch={batch_id}")
+        verdict = F.when(F.size("failed_rules") == 0, "good").otherwise("bad")
+        gate.mark_failures(batch, rules).withColumn("verdict", verdict).write.mode("overwrite").partitionBy("verdict").parquet(
+            f"{folder}/gated/batch={batch_id}")
 
     return write
 
 
+def gated_rows(spark: SparkSession, folder: str, schema, verdict: str) -> DataFrame:
+    """Rows that :func:`gate_batches` called good or bad, with the rules they failed; ``schema`` is the stream's."""
+    whole = StructType([*schema.fields, StructField("failed_rules", ArrayType(StringType())),
+                        StructField("verdict", StringType()), StructField("batch", LongType())])
+    rows = spark.read.schema(whole).option("basePath", f"{folder}/gated").parquet(f"{folder}/gated")
+    return rows.filter(F.col("verdict") == verdict).drop("verdict", "batch")
+
+
 def tumbling_counts(df: DataFrame, source: str, value: str, length: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """Rows and value total per source and window; late rows beyond the delay are dropped."""
     return _window_counts(df, F.window("ts", length), source, value, delay)
@@ -105,7 +114,12 @@ def drift_batches(reference: DataFrame, folder: str):
     """Writer of one drift row per window closed in a batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        category_drift(batch, reference).write.mode("overwrite").parquet(f"{folder}/drift/batch={batch_id}")
+        # the closed windows are read twice, the stream once
+        batch.persist()
+        try:
+            category_drift(batch, reference).write.mode("overwrite").parquet(f"{folder}/drift/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 

@@ -114,3 +114,16 @@ def test_logistic_fit_equals_a_plain_newton(spark):
         p = 1 / (1 + np.exp(-design @ want))
         want -= np.linalg.solve((design.T * (p * (1 - p))) @ design + np.diag(pull), design.T @ (p - y) + pull * want)
     assert np.allclose(got, want, atol=1e-8)
+
+
+def test_cells_beyond_the_bound_give_the_same(spark, study, monkeypatch):
+    """The lookup that spreads full cells against the broadcast, with null, zero of both signs and a full cell."""
+    units = study.select("unit", "t", "y", F.when(F.col("unit") % 3 > 0, "most").when(F.col("unit") % 9 > 0, None).otherwise("few").alias("s"),
+                         F.when(F.col("unit") % 2 == 0, F.lit(0.0)).when(F.col("unit") % 5 == 0, F.lit(-0.0)).otherwise(F.lit(1.5)).alias("b"))
+    sent = causal.outcome_preds(units, "t", "y", ["s", "b"])
+    assert "BroadcastHashJoin" in sent._jdf.queryExecution().executedPlan().toString()
+    rows = sorted(map(tuple, sent.select("unit", "mu1", "mu0").collect()))
+    monkeypatch.setattr(causal, "SENT_CELLS", 0)
+    spread = causal.outcome_preds(units, "t", "y", ["s", "b"])
+    assert spread.columns == sent.columns
+    assert sorted(map(tuple, spread.select("unit", "mu1", "mu0").collect())) == rows and len(rows) == 8000

@@ -148,3 +148,34 @@ def test_factors_find_planted_blocks(spark):
 
 def test_bundle_schema_is_a_struct(spark):
     assert "kill_chain_phases" in spark.createDataFrame([], BUNDLE_OBJECT).columns
+
+
+def test_trained_link_score_finds_planted_blocks(spark):
+    """Groups and techniques of one block share software; held-out links lie inside blocks."""
+    node = lambda kind, i: (f"{kind}{i}", kind, f"{kind} {i}", "")
+    nodes = spark.createDataFrame(
+        [node("group", i) for i in range(24)] + [node("technique", i) for i in range(40)] + [node("software", i) for i in range(12)],
+        "id string, kind string, name string, ext_id string")
+    pairs = [(g, t) for g in range(24) for t in range(40)]
+    inside = [(g, t) for g, t in pairs if g % 4 == t % 4 and (3 * g + t) % 3 == 0]
+    edge = lambda a, b: (a, b)
+    around = [edge(f"group{g}", f"software{s}") for g in range(24) for s in range(12) if g % 4 == s % 4]
+    around += [edge(f"software{s}", f"technique{t}") for t in range(40) for s in range(12) if t % 4 == s % 4 and (s + t) % 3]
+    linked = [edge(f"group{g}", f"technique{t}") for g, t in inside]
+    frame = lambda rows: spark.createDataFrame(rows, "src string, dst string")
+    message = graph.undirected(frame(around + linked[20:]))
+    far = [edge(f"group{g}", f"technique{t}") for g, t in pairs if (g, t) not in inside and g % 4 != t % 4]
+    model, labelled = links.train_link_score(frame(linked[:10]), frame(far[::9] + linked[:1]), message)
+    assert labelled.filter("y = 1").count() == 10 and labelled.count() == 10 + len(far[::9])
+    judged = links.score_links(frame(linked[10:20]).withColumn("y", F.lit(1)).unionByName(
+        frame(far[1::9]).withColumn("y", F.lit(0))), message, model)
+    auc = links.evaluate_links(judged.filter("y = 1"), judged.filter("y = 0")).first()["roc_auc"]
+    assert auc > 0.95
+    known = frame(linked)
+    ranked = links.rank_by_link_score(nodes, message, known, "group0", model).orderBy("rank").collect()
+    assert [r["rank"] for r in ranked] == list(range(1, 41))
+    assert all(a["score"] >= b["score"] for a, b in zip(ranked, ranked[1:]))
+    assert {int(r["id"][9:]) % 4 for r in ranked[:10]} == {0}
+    assert sum(r["known"] for r in ranked) == sum(e[0] == "group0" for e in linked)
+    for missing in ("nobody", None):
+        assert links.rank_by_link_score(nodes, message, known, missing, model).count() == 0

@@ -137,3 +137,16 @@ def test_sketch_rank_bounds_buckets_and_ties(spark, value):
     assert got.columns == ["id", "v", "rank"]
     assert got.join(plain, "id").filter("rank <> want").count() == 0 and got.count() == 6000
     assert ranking.sketch_rank(df.limit(0), "v", h, [F.col("id")]).count() == 0
+
+
+@pytest.mark.parametrize("hot", ["neither", "left", "right", "both"])
+def test_spread_join_equals_plain_join(spark, hot):
+    key = lambda share: F.when(F.rand(5) < share, "hub").otherwise((F.col("id") % 300).cast("string"))
+    left = spark.range(900).select(F.col("id").alias("l"), key(0.4 if hot in ("left", "both") else 0.0).alias("k"))
+    right = spark.range(700).select(F.col("id").alias("r"), key(0.4 if hot in ("right", "both") else 0.0).alias("k"))
+    left = left.unionByName(spark.createDataFrame([(-1, None), (-2, "alone")], "l long, k string")).cache()
+    right = right.unionByName(right.limit(9)).unionByName(spark.createDataFrame([(-3, None)], "r long, k string")).cache()
+    got = ranking.spread_join(left, right, "k", ["l"], ["r"]).select("k", "l", "r")
+    want = left.join(right, "k").select("k", "l", "r")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert ranking.spread_join(left.limit(0), right, "k", ["l"], ["r"]).count() == 0
