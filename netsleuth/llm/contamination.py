@@ -100,11 +100,12 @@ def phrase_hits(documents: DataFrame, windows: DataFrame, lists: int = 2) -> Dat
     docs = texts(documents).withColumn("cls", F.xxhash64("text"))
     # only texts with candidates travel to them
     asked = docs.join(_sent(per_doc.select("_doc"), SENT_IDS), F.col("doc_id") == F.col("_doc"), "left_semi")
-    joined = asked.join(per_doc, F.col("doc_id") == F.col("_doc")).select(
-        "doc_id", "cls", item_words(F.col("text")).alias("_w"), "_c")
+    # written words are split once; as an expression they would be split again for every candidate
+    words = written(asked.select("doc_id", "cls", item_words(F.col("text")).alias("_w")).dropDuplicates(["doc_id", "cls"]), "words")
     same = lambda c: F.array_join(F.slice("_w", c["start"] + 1, c["size"]), " ") == c["win"]
-    return joined.select("doc_id", "cls", F.filter("_c", same).alias("hits")).filter(F.size("hits") > 0).dropDuplicates(
-        ["doc_id", "cls"])
+    compared = words.join(per_doc, F.col("doc_id") == F.col("_doc")).select("doc_id", "cls", F.filter("_c", same).alias("hits"))
+    # written before the empty ones go, or the comparison would run once more in the condition
+    return written(compared, "hits").filter(F.size("hits") > 0)
 
 
 def phrase_matches(documents: DataFrame, windows: DataFrame, lists: int = 2) -> DataFrame:
@@ -112,7 +113,7 @@ def phrase_matches(documents: DataFrame, windows: DataFrame, lists: int = 2) ->
 
     Null texts have no words; rows without doc_id are left out; other columns are ignored.
     """
-    hits = written(phrase_hits(documents, windows, lists), "hits").select(
+    hits = phrase_hits(documents, windows, lists).select(
         F.col("doc_id").alias("_doc"), F.col("cls").alias("_cls"), "hits")
     counted = texts(documents).select(
         "doc_id", F.xxhash64("text").alias("cls"), F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
@@ -171,4 +172,4 @@ def clean(documents: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     windows = written(benchmark_windows(items, width), "benchmark")
     bad = phrase_hits(documents, windows).select(F.col("doc_id").alias("__llm_id"), F.col("cls").alias("__llm_cls"))
     same = (documents["doc_id"].cast("long") == F.col("__llm_id")) & (F.xxhash64(documents["text"]) == F.col("__llm_cls"))
-    return documents.join(written(bad, "contaminated"), same, "left_anti")
+    return documents.join(bad, same, "left_anti")
