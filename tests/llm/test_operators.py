@@ -299,6 +299,50 @@ def test_language_model(docs, rows):
     assert sum(r["score"] for r in seen) > sum(r["base_score"] for r in seen)
 
 
+def mixture_scores(rows):
+    """Scores of (doc_id, text, ...) rows from plain dictionaries; the weights are learnt on the same bins of events."""
+    sequences = [(i, zlib.crc32(str(i).encode()) % 7, words(t, True) + [None]) for i, t, *_ in rows]
+    parts = {0: (Counter(), Counter(), Counter()), 1: (Counter(), Counter(), Counter())}
+    for _, fold, ts in sequences:
+        if fold != 2:
+            context, word, both = parts[int(fold == 5)]
+            before = ["<start>"] + ts[:-1]
+            context.update(before), word.update(ts), both.update(zip(before, ts))
+    context, word, both = (parts[0][k] + parts[1][k] for k in range(3))
+    types = len(word)
+    # an estimate seen by the held-out part comes from the main part alone
+    bins = {}
+    for _, fold, ts in sequences:
+        for b, t in zip(["<start>"] + ts[:-1], ts) if fold == 5 else ():
+            seen = parts[0][0][b]
+            p2, p1 = parts[0][2][b, t] / max(seen, 1), parts[0][1][t] / max(1, sum(parts[0][1].values()))
+            key = (int(language_model._level(np.array(seen))), int(language_model._cell(np.array(p2))), int(language_model._cell(np.array(p1))))
+            n, s2, s1 = bins.get(key, (0, 0.0, 0.0))
+            bins[key] = (n + 1, s2 + p2, s1 + p1)
+    events = np.array([(k[0], n, s2 / n, s1 / n) for k, (n, s2, s1) in bins.items()], dtype=float).reshape(-1, 4)
+    weights = language_model.learn_weights(events, 1 / (types + 1))
+    out = []
+    for i, _, ts in sequences:
+        score = 0.0
+        for b, t in zip(["<start>"] + ts[:-1], ts):
+            w = weights[min(context[b].bit_length(), language_model.LEVELS - 1)]
+            score += math.log10(w[0] * both[b, t] / max(context[b], 1) + w[1] * word[t] / max(1, sum(word.values())) + w[2] / (types + 1))
+        out.append((i, score))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("batch", [language_model.BATCH, 700])
+def test_language_model_scores_equal_plain_counts(spark, rows, monkeypatch, batch):
+    """One batch a task and many; repeated rows, rows without text and without an id."""
+    monkeypatch.setattr(language_model, "BATCH", batch)
+    more = rows + rows[6:8] + [(None, "left out", None, None, None, "a", "b", None, 7)]
+    table = spark.createDataFrame(more, SCHEMA).repartition(3)
+    got = sorted((r["doc_id"], r["score"]) for r in language_model.score_documents(table).collect())
+    want = mixture_scores([r for r in more if r[0] is not None])
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-9)
+
+
 def test_mixture_weights_are_the_maximum():
     rng = np.random.default_rng(0)
     events = np.stack([np.full(50, 3.0), rng.integers(1, 90, 50).astype(float), rng.random(50) * (rng.random(50) < .5), rng.random(50) * .01], axis=1)
@@ -359,6 +403,84 @@ def test_url_templates_learn_from_labels(spark):
     assert all(got[100 + i] == ("allow" if i % 2 else "block") for i in range(10))
 
 
+def plain_verdicts(urls, rules):
+    """Verdicts of (id, host, path) by recursion over plain lists."""
+    def rule(host, path):
+        fit = [(len(h + p), h, p, k) for k, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fit)[3] if fit else None
+
+    def name(paths, parent, nodes):
+        kinds = Counter(segs[0] for _, segs in paths)
+        wild = len(kinds) > url_filter.MANY and len(paths) < len(kinds) * url_filter.MANY
+        groups = {}
+        for path, segs in paths:
+            groups.setdefault(parent + "/" + ("*" if wild else segs[0]), []).append((path, segs[1:]))
+        for node, group in groups.items():
+            for path, _ in group:
+                nodes[path].append(node)
+            open_ = [(path, segs) for path, segs in group if segs]
+            if len(open_) > url_filter.MANY:
+                name(open_, node, nodes)
+            else:
+                for path, segs in open_:
+                    nodes[path] += [node + "/" + "/".join(segs[:i + 1]) for i in range(len(segs))]
+
+    tree = {}
+    for host in {h for _, h, _ in urls}:
+        paths = sorted({p for _, h, p in urls if h == host})
+        segs = {p: [s for s in re.sub("[0-9]+", "<n>", p).split("/") if s] for p in paths}
+        tree[host] = {p: [""] for p in paths}
+        name([(p, segs[p]) for p in paths if segs[p]], "", tree[host])
+    own, wide = {}, {}
+    for _, host, path in urls:
+        verdict = rule(host, path)
+        for node in tree[host][path] if verdict else ():
+            for table, key in ((own, (host, node)), (wide, node)):
+                n, b = table.get(key, (0, 0))
+                table[key] = (n + 1, b + (verdict == "block"))
+
+    def anywhere(node):
+        parts, p = node.split("/"), 0.5
+        for i in range(len(parts)):
+            n, b = wide["/".join(parts[:i + 1])]
+            p = (b + url_filter.SMOOTHING * p) / (n + url_filter.SMOOTHING)
+        return p
+
+    def purity(host, node):
+        if (host, node) not in own:
+            return anywhere(node) if node in wide else None
+        (n, b), (big_n, big_b) = own[host, node], own.get((host, node.rpartition("/")[0]), (0, 0)) if node else (0, 0)
+        if big_n:
+            share = big_b / big_n
+            if abs(b / n - share) / math.sqrt(max(share * (1 - share), 0.01) / n) < url_filter.SIGNIFICANT:
+                n, b = big_n, big_b
+        return (b + url_filter.SMOOTHING * anywhere(node)) / (n + url_filter.SMOOTHING)
+
+    out = []
+    for i, host, path in urls:
+        found = [p for p in (purity(host, node) for node in tree[host][path]) if p is not None]
+        out.append((i, rule(host, path) or ("block" if found and found[-1] >= 0.5 else "allow")))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_url_verdicts_equal_plain_recursion(spark, seed):
+    """Random trees with wide and narrow levels, labels that differ by branch, repeated and empty urls."""
+    rng = np.random.default_rng(seed)
+    rules = [("block", "net", "/ads/"), ("allow", "net", "/ads/ok/"), ("allow", "net", "/news/"), ("block", "net", "/x/b")]
+    pick = lambda *kinds: str(rng.choice(kinds))
+    urls = []
+    for i in range(900):
+        host = pick("a.net", "b.net", "c.org", "d.org", "d.org")
+        path = "/" + "/".join([pick("ads", "news", "x", "y"), pick("ok", "b", "c", f"u{rng.choice(list('abcdefghijklmnopqrstuvwxyz'))}"),
+                               pick("p", "q", f"{rng.integers(1000)}"), pick("z", "end", "w" * int(rng.integers(1, 40)))][:int(rng.integers(0, 5))])
+        urls.append((i, host, path))
+    urls += [(i + 2000, h, p) for i, h, p in urls[::7]] + [(5000, "a.net", "")]
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, h, p in urls], "page_id long, url string").repartition(4)
+    got = sorted((r["page_id"], r["verdict"]) for r in url_filter.judge(pages, rules).collect())
+    assert got == plain_verdicts(urls, rules) and {v for _, v in got} == {"allow", "block"}
+
+
 def test_url_templates_cover_whole_paths(spark):
     rules = [("block", "x.com", "/a/b/c/d/ads/"), ("allow", "x.com", "/a/b/c/d/docs/")]
     kind = lambda i: "docs" if i % 2 else "ads"
