@@ -9,6 +9,8 @@ The files are Parquet rows in a folder that Spark writes, so any store it reache
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -143,10 +145,30 @@ class WaveletMatrix:
             at = np.flatnonzero(bit)[at - self.zeros[level]] if code >> (depth - 1 - level) & 1 else np.flatnonzero(~bit)[at]
         return np.sort(at)
 
+    def _place(self, level, j, one):
+        """Position of the j-th one or zero of a plane, from 0: its block from the stored counts, then the bits of that block."""
+        import numpy as np
+
+        ranks = self.ranks[level]
+        before = lambda block: int(ranks[block]) if one else block * RANK_BITS - int(ranks[block])
+        block = bisect.bisect_right(range(len(ranks)), j, key=before) - 1
+        first = block * RANK_BITS
+        bits = np.unpackbits(self.planes[level][first // 8:(first + RANK_BITS) // 8], bitorder="little")
+        return first + int(np.flatnonzero(bits == one)[j - before(block)])
+
     def select(self, symbol: int, k: int) -> int:
-        """Position of the k-th ``symbol`` from 0, or -1."""
-        found = self.occurrences(symbol)
-        return int(found[k]) if 0 <= k < len(found) else -1
+        """Position of the k-th ``symbol`` from 0, or -1; one block of each plane is read."""
+        code = self._code(symbol)
+        if code is None:
+            return -1
+        a, b = self._range(code, 0, self.n)
+        if not 0 <= k < b - a:
+            return -1
+        at, depth = a + k, len(self.planes)
+        for level in reversed(range(depth)):
+            one = code >> (depth - 1 - level) & 1
+            at = self._place(level, at - self.zeros[level] * one, one)
+        return at
 
 
 def _encode(path):

@@ -283,6 +283,22 @@ def test_wavelet(spark, docs, rows):
     assert (m.occurrences(33) == np.flatnonzero(ids == 33)).all() and m.select(33, 5) == np.flatnonzero(ids == 33)[5] and m.select(5, 0) == -1
 
 
+@pytest.mark.parametrize("n", [1, 2, 511, 512, 513, 4096, 20_000])
+def test_wavelet_select(n, monkeypatch):
+    """Every symbol's first, middle and last occurrence, without reading whole planes."""
+    rng = np.random.default_rng(n)
+    ids = np.where(rng.random(n) < 0.4, 7, rng.integers(0, 300, n)).astype("<u4")
+    m = wavelet.WaveletMatrix.build(ids)
+    monkeypatch.setattr(wavelet.WaveletMatrix, "_bits", None)
+    monkeypatch.setattr(wavelet.WaveletMatrix, "occurrences", None)
+    for symbol in np.unique(ids).tolist():
+        places = np.flatnonzero(ids == symbol)
+        for k in {0, len(places) // 2, len(places) - 1}:
+            assert m.select(symbol, k) == places[k] and m.rank(symbol, int(places[k])) == k
+        assert m.select(symbol, len(places)) == -1 == m.select(symbol, -1)
+    assert m.select(300, 0) == -1
+
+
 def test_language_model(docs, rows):
     got = {r["doc_id"]: r for r in language_model.score_documents(docs).collect()}
     fold = {r[0]: zlib.crc32(str(r[0]).encode()) % 7 for r in rows}
