@@ -330,3 +330,13 @@ def test_recursive_chunks_equal_a_plain_cutter(spark):
     assert len(held) == sum(bool(t) for t in texts)
     assert all(r["covered"] == len(texts[r["i"]]) and r["longest_fits"] and r["in_order"] for r in held)
     assert corpus.chunk_recursive(df.limit(0)).columns == ["i", "chunk_note", "chunk_no", "chunk_text"]
+
+
+def test_coverage_cuts_each_text_once(spark):
+    """No filter on the spans, which the optimizer would push down with the whole cutting inside."""
+    text = "word " * 4000
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "i int, text string")
+    made = corpus.chunk_coverage(df, "i")
+    assert [tuple(r) for r in made.collect()] == [(1, len(text), True, True)]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert all("aggregate(" not in line for line in plan.splitlines() if "Filter " in line)
