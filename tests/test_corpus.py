@@ -340,3 +340,29 @@ def test_coverage_cuts_each_text_once(spark):
     assert [tuple(r) for r in made.collect()] == [(1, len(text), True, True)]
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert all("aggregate(" not in line for line in plan.splitlines() if "Filter " in line)
+
+
+@pytest.mark.parametrize("cells", [1, 7, 1 << 21])
+def test_topk_in_blocks_of_any_size(spark, cells, monkeypatch):
+    """Texts are scored with all queries inside the task; ties go by id, and null ids are ids."""
+    monkeypatch.setattr(retrieval, "BLOCK_CELLS", cells)
+    words = [f"w{i}" for i in range(9)]
+    rng = np.random.default_rng(3)
+    held = [(f"é{i}" if i % 3 else f"d{i}", w, float(rng.integers(1, 4)) / 4) for i in range(40) for w in words if rng.random() < 0.4]
+    held += [(None, "w1", 0.75), (None, "w2", 0.75)] + [(f"c{i}", "w1", 0.5) for i in range(30)]
+    asked = [(q, w, float(rng.integers(1, 4)) / 4) for q in [1, 2, None] for w in words if rng.random() < 0.5] + [(4, "none", 1.0), (5, "w1", 1.0)]
+    weights = spark.createDataFrame(held, "id string, term string, weight double")
+    queries = spark.createDataFrame(asked, "q_id int, term string, weight double")
+    got = retrieval.sparse_topk(queries, weights, 4)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    want = set()
+    for q in {a[0] for a in asked}:
+        score = {}
+        for q_id, term, wq in asked:
+            for i, t, w in held:
+                if q_id == q and t == term:
+                    score[i] = score.get(i, 0.0) + w * wq
+        best = sorted(score, key=lambda i: (-score[i], i is not None, (i or "").encode()))[:4]
+        want |= {(q, i, round(score[i], 6), n + 1) for n, i in enumerate(best)}
+    assert {(r["q_id"], r["id"], r["score"], r["stage1_rank"]) for r in got.collect()} == want
+    assert retrieval.sparse_topk(queries.limit(0), weights, 4).count() == 0 == retrieval.sparse_topk(queries, weights.limit(0), 4).count()
