@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsleuth.session import shared_dir
+from netsleuth.session import shared_dir, shuffles_given_back
 
 
 def ship(spark: SparkSession) -> None:
@@ -41,7 +41,8 @@ def written(df: DataFrame, kind: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, kind)
-    df.write.parquet(path)
+    with shuffles_given_back(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -150,3 +150,22 @@ def test_spread_join_equals_plain_join(spark, hot):
     want = left.join(right, "k").select("k", "l", "r")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert ranking.spread_join(left.limit(0), right, "k", ["l"], ["r"]).count() == 0
+
+
+def test_tables_give_back_their_shuffle_files(spark):
+    """A table that is written keeps no shuffle files behind, and the setting of the session stays as it was."""
+    import time
+
+    from netsleuth import session
+    from netsleuth.llm.shared import written
+
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().size()
+    for write in (session.durable, session.durable_partitions, written):
+        before = held()
+        made = write(spark.range(5000).groupBy((F.col("id") % 70).alias("k")).count())
+        end = time.time() + 10
+        while held() > before and time.time() < end:
+            time.sleep(0.2)
+        assert held() <= before, write.__name__
+        assert made.count() == 70
+    assert spark.conf.get(session.CLEANUP) == "false"
