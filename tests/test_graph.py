@@ -179,3 +179,17 @@ def test_trained_link_score_finds_planted_blocks(spark):
     assert sum(r["known"] for r in ranked) == sum(e[0] == "group0" for e in linked)
     for missing in ("nobody", None):
         assert links.rank_by_link_score(nodes, message, known, missing, model).count() == 0
+
+
+def test_heuristics_leave_own_edges_out_and_share_neighbours(spark):
+    edges = [("g0", "t0"), ("g0", "t0"), ("g0", "s0"), ("s0", "t0"), ("g1", "t0"), ("g1", "s0"), (None, "t0")]
+    message = graph.undirected(spark.createDataFrame(edges, "src string, dst string"))
+    ready = links.neighbours(message)
+    pairs = spark.createDataFrame([("g0", "t0"), ("g1", "t0"), ("g0", "g1"), ("g0", "nobody"), (None, "t0")], "src string, dst string")
+    rows = lambda around: {(r["src"], r["dst"]): tuple(r)[2:] for r in links.link_heuristics(pairs, around).collect()}
+    assert rows(ready) == rows(message)
+    found = rows(ready)
+    # g0 and t0 are linked: s0 is shared, and neither counts the other
+    assert found["g0", "t0"][0] == 1 and found["g0", "t0"][3] == 1 * 3
+    assert found["g0", "g1"][0] == 2 and found["g0", "g1"][3] == 2 * 2
+    assert found["g0", "nobody"] == (0, 0.0, 0.0, 0) and found[None, "t0"][0] == 0

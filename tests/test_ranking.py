@@ -169,3 +169,23 @@ def test_tables_give_back_their_shuffle_files(spark):
         assert held() <= before, write.__name__
         assert made.count() == 70
     assert spark.conf.get(session.CLEANUP) == "false"
+
+
+def test_ranks_beyond_marks_against_a_full_rank(spark):
+    import random
+
+    from netsleuth.operators.ranking import bucket_rank, ranks_beyond
+
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 9), rng.choice([None, *range(40)]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "b int, v int, i int")
+    order = [F.col("v"), F.col("i")]
+    rank = {r["i"]: r["rank"] for r in bucket_rank(df, F.col("b"), order).collect()}
+    for marks in ([0], [300], [400], [1, 299], [30, 31], [95, 210]):
+        got = ranks_beyond(df, F.col("b"), order, [F.lit(m) for m in marks]).collect()
+        assert len(got) == len(rows)
+        assert all(r["beyond"] == sum(rank[r["i"]] > m for m in marks) for r in got), marks
+    # equal rows on a cut fall on either side, as many as the rank says
+    same = spark.createDataFrame([(0, 1)] * 10, "b int, v int")
+    assert ranks_beyond(same, F.col("b"), [F.col("v")], [F.lit(4)]).filter("beyond = 0").count() == 4
+    assert ranks_beyond(same.limit(0), F.col("b"), [F.col("v")], [F.lit(4)]).count() == 0
