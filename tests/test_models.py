@@ -31,6 +31,38 @@ def test_train_evaluate_explain_score(spark, flows):
     assert all(0 <= r["malicious_probability"] <= 1 and r["model_version"] == "3" for r in rows)
 
 
+def test_swapped_rows_carry_their_own_probability(spark):
+    """Only values that change are scored again, no scored row meets another, and the means are those of plain swaps."""
+    import hashlib
+
+    from pyspark.ml.classification import GBTClassifier
+
+    rows = [(i, float(i % 3), float(i % 7), 1.0, int(i % 7 > 3)) for i in range(60)]
+    names = ["a", "b", "same"]
+    vectors = training.feature_vectors(spark.createDataFrame(rows, "id long, a double, b double, same double, Label int"), ["id", "Label"], names)
+    model = GBTClassifier(featuresCol="features", labelCol="Label", maxIter=2, maxDepth=2, seed=1).fit(vectors)
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"0|{r[0]}".encode()).hexdigest(), r[0]))
+    # row r meets the one before it, the first meets the last
+    met = [(r[1:4], order[i - 1][1:4]) for i, r in enumerate(order)]
+    chance = lambda x: model.predictProbability(x)[1]
+    from pyspark.ml.linalg import Vectors
+    swap = lambda x, y, f: Vectors.dense([y[i] if i == f else v for i, v in enumerate(x)])
+    want = {n: round(sum(abs(chance(swap(x, y, f)) - chance(Vectors.dense(x))) for x, y in met) / len(met), 6) for f, n in enumerate(names)}
+
+    class Plain:
+        seen = []
+
+        def transform(self, df):
+            self.seen.append(df)
+            return model.transform(df)
+
+    for asked in (model, Plain()):
+        got = {r["feature"]: r["mean_abs"] for r in training.swap_importance(asked, vectors, "id", names).collect()}
+        assert got == pytest.approx(want, abs=1e-6)
+    changed = sum(u != v for x, y in met for u, v in zip(x, y))
+    assert [df.count() for df in Plain.seen] == [60, changed]
+
+
 def test_search_reports_every_trial(spark, flows):
     gold = cleaning.engineer(cleaning.silver(flows))
     vectors = training.feature_vectors(cleaning.model_matrix(gold, ["flow_id", "Label"]), ["flow_id", "Label"])
