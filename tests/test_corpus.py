@@ -116,6 +116,43 @@ def test_search_by_bounds_is_exact_and_scores_less(spark):
     assert reached.distinct().count() == reached.count()
 
 
+def test_bounds_are_met_where_the_texts_lie(spark, monkeypatch):
+    """Pairs are gathered and counted text by text, with the rows of the joined form, twice-asked terms and null ids too."""
+    texts = [("d1", "a b c"), ("d1", "a b c"), ("d2", "b c d e"), (None, "a e"), ("d4", "zz"), ("d5", "c c c a")]
+    docs = spark.createDataFrame(texts, "id string, text string")
+    asked = spark.createDataFrame([(1, "a b q"), (2, "c c e"), (None, "a"), (3, "nothing")], "q int, text string")
+    postings = retrieval.build_postings(docs, "id", "text")
+    queries = retrieval.query_weights(asked, "q", "text", postings)
+    weights = retrieval.banded_weights(postings)
+    needed = queries.unionByName(queries.limit(2)).select("q_id", "term", F.col("weight").alias("wq")).join(
+        weights.select("term", "band").distinct(), "term").withColumns({"bar": F.lit(0.3), "rest": F.lit(0.05)})
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    own = retrieval._reaching(weights, needed.filter("q_id is not null"))
+    counted = retrieval.sharing_pairs(queries, weights)
+    # neither moves its pairs: they leave the kernel as hits or as one count
+    assert all("MapInArrow" in df._jdf.queryExecution().toString() for df in (own, counted))
+    found = rows(own), rows(counted)
+    assert found[1] == [(11,)] and 0 < len(found[0]) < 8
+    monkeypatch.setattr(retrieval, "SMALL_QUERY_TERMS", 0)
+    assert (rows(retrieval._reaching(weights, needed.filter("q_id is not null"))), rows(retrieval.sharing_pairs(queries, weights))) == found
+
+
+def test_index_parts_follow_the_text(spark, monkeypatch):
+    """More text makes more tasks, not larger ones, in the counting, the lookup of frequencies and the norms."""
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join(rng.choice(["ab", "cd", "ef", "gh", "ij"], 30))) for i in range(300)] + [(None, "ab ab"), (7, None)]
+    docs = spark.createDataFrame(texts, "id int, text string")
+    rows = lambda df: sorted((str(r["id"]), r["term"], round(r["weight"], 9), r["band"]) for r in df.collect())
+    plain = rows(retrieval.banded_weights(retrieval.build_postings(docs, "id", "text")))
+    monkeypatch.setattr(retrieval, "PART_BYTES", 1000)
+    postings = retrieval.build_postings(docs, "id", "text")
+    size = sum(len(t or "") for _, t in texts)
+    weights = retrieval.banded_weights(postings)
+    assert postings.rdd.getNumPartitions() == -(-size // 1000) > 8
+    assert weights.rdd.getNumPartitions() == postings.rdd.getNumPartitions()
+    assert rows(weights) == plain
+
+
 def test_rerank_keeps_stage_one_order_on_ties(spark):
     rows = [(1, "a", 1, 0.5), (1, "b", 2, 0.9), (1, "c", 3, 0.5)]
     got = retrieval.rerank(spark.createDataFrame(rows, "q_id int, id string, stage1_rank int, rerank_score double"), n=2)
