@@ -99,6 +99,36 @@ def test_neighbour_mean(spark):
     assert got == {"a": 2.0, "b": 4.0, "c": 6.0, "lone": 5.0}
 
 
+def test_neighbour_mean_in_tiles(spark, monkeypatch):
+    """Small blocks and tiles, a hub, repeated edges and nodes, nulls and unknown ids against plain sums."""
+    import random
+
+    monkeypatch.setattr(graph, "BLOCK_NODES", 7)
+    monkeypatch.setattr(graph, "TILE_EDGES", 9)
+    monkeypatch.setattr(graph, "CHUNK_EDGES", 5)
+    rng = random.Random(4)
+    rows = [(f"n{i}", float(i) if i % 4 else None, i) for i in range(30)] + [("n3", 50.0, 2), (None, 1.0, 1)]
+    once = [(f"n{rng.randint(0, 29)}", f"n{rng.randint(0, 29)}") for _ in range(60)] + [("n1", f"n{i}") for i in range(28)]
+    once += [("n5", "n6"), ("n5", "n6"), ("n7", "n7"), ("n8", "gone"), ("gone", "n9"), (None, "n2"), ("n2", None)]
+    x = spark.createDataFrame(rows, "id string, f double, g int")
+    for mirrored in (False, True):
+        sends = once + [(b, a) for a, b in once] if mirrored else once
+        state = [tuple(r) for r in rows]
+        for _ in range(2):
+            got = {}
+            for a, b in sends:
+                for key, f, g in state:
+                    if a is not None and b is not None and key == a:
+                        got.setdefault(b, []).append((f, g))
+            mean = lambda key, i, own: (lambda v: sum(v) / len(v) if v else own)([m[i] for m in got.get(key, []) if m[i] is not None])
+            blend = lambda key, i, own: None if own is None else (own + mean(key, i, own)) / 2
+            state = [(k, blend(k, 0, f), blend(k, 1, g)) for k, f, g in state]
+        found = graph.neighbour_mean(x, spark.createDataFrame(once, "src string, dst string"), ["f", "g"], mirrored=mirrored)
+        order = lambda r: str(r[0]) + str(r[2])
+        for mine, want in zip(sorted((tuple(r) for r in found.collect()), key=order), sorted(state, key=order), strict=True):
+            assert mine == (want[0], pytest.approx(want[1]), pytest.approx(want[2]))
+
+
 def test_heuristics_against_brute_force(spark):
     import math
     import random
