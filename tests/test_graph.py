@@ -99,6 +99,28 @@ def test_neighbour_mean(spark):
     assert got == {"a": 2.0, "b": 4.0, "c": 6.0, "lone": 5.0}
 
 
+def test_edges_in_tiles(spark, monkeypatch):
+    """Small tiles, a hub, repeated nodes and relations, nulls, unknown ids and types against a plain double loop."""
+    import random
+
+    monkeypatch.setattr(graph, "BLOCK_NODES", 5)
+    monkeypatch.setattr(graph, "ROW_EDGES", 7)
+    monkeypatch.setattr(graph, "CHUNK_EDGES", 4)
+    rng = random.Random(8)
+    kinds = ["technique", "group", "software", None]
+    nodes = [(f"n{i}", kinds[i % 4]) for i in range(24)] + [("n1", "group"), ("n2", "technique"), (None, "group")]
+    pick = lambda: rng.choice([f"n{i}" for i in range(26)] + [None])
+    told = [(rng.choice(["uses", "uses", "subtechnique-of", "other", None]), pick(), pick()) for _ in range(300)]
+    told += [("uses", "n5", f"n{i}") for i in range(24)] * 2
+    want = [(s, d, graph.RELATIONS[k, ks, kd]) for k, s, d in told for i, ks in nodes for j, kd in nodes
+            if s is not None and d is not None and s == i and d == j and (k, ks, kd) in graph.RELATIONS]
+    relations = spark.createDataFrame([(*r, None, None) for r in told], "relationship_type string, source_ref string, "
+                                      "target_ref string, revoked boolean, x_mitre_deprecated boolean")
+    found = graph.graph_edges(relations, spark.createDataFrame(nodes, "id string, kind string"))
+    assert found.columns == ["src", "dst", "rel"]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want) and len(want) > 40
+
+
 def test_neighbour_mean_in_tiles(spark, monkeypatch):
     """Small blocks and tiles, a hub, repeated edges and nodes, nulls and unknown ids against plain sums."""
     import random
