@@ -166,6 +166,27 @@ def test_model_queries_run_the_operators_defaults(spark, monkeypatch):
     assert asked == [("train_detector", {}), ("search_params", {}), ("train_detector", {})]
 
 
+def test_no_round_is_grown_twice(spark, flows, monkeypatch):
+    """Losses that fall past the first rounds of patience take one fit, whose best prefix is the model."""
+    from pyspark.ml.classification import GBTClassifier
+
+    fits, plain = [], GBTClassifier.fit
+
+    def fit(self, data):
+        fits.append((self.getMaxIter(), plain(self, data)))
+        return fits[-1][1]
+
+    monkeypatch.setattr(GBTClassifier, "fit", fit)
+    gold = cleaning.engineer(cleaning.silver(flows))
+    vectors = training.feature_vectors(cleaning.model_matrix(gold, ["flow_id", "Label"]), ["flow_id", "Label"])
+    model = training.train_detector(vectors, "flow_id", patience=1, maxIter=6, maxDepth=2)
+    assert [rounds for rounds, _ in fits] == [6]
+    n = model.getNumTrees
+    assert 2 <= n <= 6
+    tail = lambda m: m.toDebugString.splitlines()[1:]
+    assert tail(model) == tail(fits[0][1])[:len(tail(model))] and model.treeWeights == fits[0][1].treeWeights[:n]
+
+
 def test_batch_job_decides_once_per_batch(spark, flows, tmp_path):
     """A clean batch skips, a shifted one retrains, a failing one publishes nothing, a rerun lands nothing twice."""
     inbox, folder = str(tmp_path / "inbox"), str(tmp_path / "job")
