@@ -34,15 +34,15 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/llm/{kind}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, kind: str = "table") -> DataFrame:
-    """Write the rows to the shared folder and read them back.
+def written(df: DataFrame, kind: str = "table", **options) -> DataFrame:
+    """Write the rows to the shared folder and read them back; ``options`` are those of the Parquet writer.
 
     Later jobs restart from these files, so a lost executor costs a reread only.
     """
     spark = df.sparkSession
     path = new_folder(spark, kind)
     with shuffles_given_back(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from netsleuth.llm.encode import Encoder
 from netsleuth.llm.shared import texts, written
+from netsleuth.session import shuffle_width
 
 #: Bytes of text whose pairs are told apart together; a longer text is a batch of its own.
 BATCH_BYTES = 8 << 20
@@ -35,6 +36,8 @@ LANE = 256
 #: Links expanded in one go.
 LINKS = 1 << 21
 HOT_SHARE = 50_000
+#: A row holds megabytes: a file's group of rows, which its writer and its readers hold at once, is one row, not all of a task.
+ROW_BY_ROW = {"parquet.block.row.count.limit": 1}
 
 _ALIGNED = ("batch bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
             "n_links array<bigint>, groups_sha256 array<string>, pairs array<bigint>, held array<bigint>, "
@@ -348,7 +351,7 @@ def align(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
         yield from _align(batches, path_a, path_b)
 
-    return written(texts(documents).mapInArrow(run, _ALIGNED), "aligned")
+    return written(texts(documents).mapInArrow(run, _ALIGNED), "aligned", **ROW_BY_ROW)
 
 
 def link_counts(aligned: DataFrame, numbers: int) -> DataFrame:
@@ -424,4 +427,7 @@ def alignment(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
         table = _score(left.combine_chunks(), right.combine_chunks())
         return empty.empty_table() if table is None else table
 
-    return aligned.groupBy("batch").cogroup(met.groupBy("of")).applyInArrow(score, SCHEMA)
+    # about a batch a task: the few dozen megabytes of a batch are small once compressed, so that the session would join many
+    width = max(shuffle_width(documents.sparkSession), aligned.count())
+    return aligned.repartition(width, "batch").groupBy("batch").cogroup(
+        met.repartition(width, "of").groupBy("of")).applyInArrow(score, SCHEMA)

@@ -288,6 +288,16 @@ def test_alignment_of_odd_texts(spark, align_rows, monkeypatch):
     assert token_alignment.alignment(docs.limit(0), A, B).count() == 0
 
 
+def test_rows_of_batches_are_written_one_by_one(spark):
+    """However many batches a task writes, neither its writer nor a reader holds more than one of them."""
+    import pyarrow.parquet as pq
+
+    docs = spark.createDataFrame([(i, "ab " * 1_400_000) for i in range(2)], "doc_id long, text string").coalesce(1)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in token_alignment.align(docs, A, B).inputFiles()]
+    sizes = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert len(files) == 1 and sizes == [1, 1]
+
+
 def test_op13_over_a_whole_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     got = entry.queries()["op13_token_alignment"](spark, FOLDER)
