@@ -1,33 +1,13 @@
-"""Code for the workers, written tables in the shared folder, and connected components."""
+"""Written tables in the shared folder, and connected components."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsleuth.session import shared_dir, shuffles_given_back
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the workers, once per application, as a zip that Spark distributes."""
-    context = spark.sparkContext
-    if getattr(context, "_netsleuth_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(), "netsleuth.zip")
-    with zipfile.ZipFile(path, "w") as archive:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-    context.addPyFile(path)
-    context._netsleuth_shipped = True
+from netsleuth.session import shared_dir, ship, shuffles_given_back
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:

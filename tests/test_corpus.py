@@ -153,6 +153,44 @@ def test_index_parts_follow_the_text(spark, monkeypatch):
     assert rows(weights) == plain
 
 
+def test_weights_come_from_packed_parts(spark, monkeypatch):
+    """Weights and postings are views of the stored parts, without a shuffle of their rows; nulls and repeated ids count as before."""
+    from collections import Counter
+
+    monkeypatch.setattr(retrieval, "PART_BYTES", 40)
+    texts = [("d1", "a b c"), ("d1", "a b c"), ("d1", "a z"), ("d2", "b c d e"), (None, "a e"), (None, "a e"), ("d4", None), ("d5", "12 3"), ("d6", "c c a")]
+    docs = spark.createDataFrame(texts, "id string, text string")
+    postings = retrieval.build_postings(docs, "id", "text")
+    want = Counter((i, len(t.split()), w) for i, t in texts if t and i != "d5" for w in t.split())
+    assert sorted(map(tuple, postings.select("id", "length", "term", "tf").collect()), key=str) == sorted(((*k, n) for k, n in want.items()), key=str)
+    df = Counter(w for _, _, w in want)
+    assert dict(retrieval.document_frequency(postings).collect()) == df
+    ids = {i for i, _, _ in want}
+    raw = {k: n * np.log((len(ids) + 1) / (df[k[2]] + 1)) + n for k, n in want.items()}
+    norm = {i: np.sqrt(sum(v * v for k, v in raw.items() if k[0] == i)) for i in ids}
+    weights = retrieval.banded_weights(postings)
+    assert "Exchange" not in weights._jdf.queryExecution().executedPlan().toString()
+    got = sorted(((r["id"], r["term"], round(r["weight"], 9), r["band"]) for r in weights.collect()), key=str)
+    assert got == sorted(((i, w, round(v / norm[i], 9), int(np.floor(2 * np.log2(norm[i])))) for (i, _, w), v in raw.items()), key=str)
+
+
+def test_more_query_terms_than_a_broadcast_go_in_blocks(spark, monkeypatch):
+    """Queries are dealt out, none is searched over shuffled weights, and the hits are those of one pass."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(list("abcdefgh"), int(rng.integers(1, 9)))) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "a b")], "id int, text string")
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:15])] + [(None, "a c"), (20, "none")], "q int, text string")
+    postings = retrieval.build_postings(docs, "id", "text")
+    queries = retrieval.query_weights(asked, "q", "text", postings)
+    weights = retrieval.banded_weights(postings)
+    rows = lambda df: sorted((tuple(r) for r in df.select("q_id", "id", "score", "stage1_rank").collect()), key=str)
+    plain, bounded = rows(retrieval.sparse_topk(queries, weights, 4)), rows(retrieval.sparse_search(queries.filter("q_id is not null"), weights, 4)[0])
+    monkeypatch.setattr(retrieval, "SMALL_QUERY_TERMS", 11)
+    assert rows(retrieval.sparse_search(queries.filter("q_id is not null"), weights, 4)[0]) == bounded
+    monkeypatch.setattr(retrieval, "_matched", None)
+    assert rows(retrieval.sparse_topk(queries, weights, 4)) == plain and len(plain) > 50
+
+
 def test_rerank_keeps_stage_one_order_on_ties(spark):
     rows = [(1, "a", 1, 0.5), (1, "b", 2, 0.9), (1, "c", 3, 0.5)]
     got = retrieval.rerank(spark.createDataFrame(rows, "q_id int, id string, stage1_rank int, rerank_score double"), n=2)
@@ -331,6 +369,17 @@ def test_text_embedding_is_near_the_best_subspace(spark):
     assert none.dim == 0 and none.captured == 0.0 and none.texts.count() == 0
 
 
+def test_embedding_sends_terms_of_parts_not_postings(spark, monkeypatch):
+    """What travels in a pass is one row for each term of a part, however many texts hold it."""
+    sent, plain = [], text_embedding.by_part
+    monkeypatch.setattr(text_embedding, "by_part", lambda parts, told, *more: sent.append(told.count()) or plain(parts, told, *more))
+    rows = [(f"d{i}", f"t{j}", 0.25) for i in range(200) for j in range(i % 7, i % 7 + 16)]
+    weights = spark.createDataFrame(rows, "id string, term string, weight double")
+    made = text_embedding.embed_text(weights, dim=5)
+    assert made.texts.count() == 200 and len(sent) == 2
+    assert max(sent) <= 22 * int(spark.conf.get("spark.sql.shuffle.partitions")) < len(rows) / 10
+
+
 def plain_chunks(body, size, overlap, separators):
     """Recursive cutter of one text, for comparison."""
     def pieces_of(part, seps):
