@@ -121,6 +121,24 @@ def test_edges_in_tiles(spark, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == sorted(want) and len(want) > 40
 
 
+def test_hops_leave_the_edges_where_they_lie(spark, monkeypatch):
+    """Only values of nodes are shuffled to the tiles, neither side of a tile is dealt out anew."""
+    plans, plain = [], graph.durable
+
+    def durable(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, *more)
+
+    monkeypatch.setattr(graph, "durable", durable)
+    monkeypatch.setattr(graph, "BLOCK_NODES", 10)
+    x = spark.createDataFrame([(f"n{i}", float(i)) for i in range(30)], "id string, f double")
+    m = spark.createDataFrame([(f"n{i}", f"n{i * 7 % 30}") for i in range(30)], "src string, dst string")
+    assert graph.neighbour_mean(x, m, ["f"], hops=1).count() == 30
+    (hop,) = [p for p in plans if "CoGroup" in p]
+    below = hop[hop.index("CoGroup"):].split("Scan ExistingRDD")[0]
+    assert "Exchange" not in below and "Exchange" in hop
+
+
 def test_neighbour_mean_in_tiles(spark, monkeypatch):
     """Small blocks and tiles, a hub, repeated edges and nodes, nulls and unknown ids against plain sums."""
     import random
